@@ -37,11 +37,11 @@ LAYOUTS: dict[str, list[str]] = {
 CONTROL = r"[\x00-\x1f\x7f-\x9f]"
 
 
-def _rules(columns: list[str]) -> list[tuple[str, str]]:
-    """(condition of failure, reason) in DuckDB SQL, in column order."""
+def _rules(columns: list[str], nl: str, cr: str) -> list[tuple[str, str]]:
+    """(condition of failure, reason) in DuckDB SQL, in column order; nl and cr stand for line breaks."""
     out = []
     for c in columns:
-        v = f"coalesce({c}, '')"
+        v = f"replace(replace(coalesce({c}, ''), '{nl}', chr(10)), '{cr}', chr(13))"
         if c == "serial_no":
             out.append((f"NOT regexp_full_match({v}, '0*[1-9][0-9]*')", "serial_no is not a positive integer"))
         elif c == "file_name":
@@ -79,22 +79,22 @@ def _free_chars(text: str, n: int) -> list[str]:
     raise ValueError("no free code point in this batch")
 
 
-def _read(con, folder: str, files: list[list[str]], fd: str, columns: list[str]) -> tuple[pd.DataFrame, pd.DataFrame]:
+def _read(con, folder: str, files: list[list[str]], fd: str, columns: list[str], breaks: tuple[str, str]) -> tuple[pd.DataFrame, pd.DataFrame]:
     """What DuckDB accepts of the files, and the errors in its reject table with file and line."""
     paths = []
     for k, lines in enumerate(files):
         paths.append(path := os.path.join(folder, f"{k:09d}.csv"))
         with open(path, "w", encoding="utf-8", newline="") as out:
             out.write("".join(x + "\n" for x in lines))
-    spec = "{" + ", ".join(f"'{c}': 'VARCHAR'" for c in ["n", *columns]) + "}"
+    spec = "{" + ", ".join(f"'{c}': 'VARCHAR'" for c in ["n", *columns, "z"]) + "}"
     longest = max((len(x.encode()) for lines in files for x in lines), default=0) + 1024
     con.execute("DROP TABLE IF EXISTS reject_errors; DROP TABLE IF EXISTS reject_scans")
-    fails = " ".join(f"WHEN {cond} THEN '{reason}'" for cond, reason in _rules(columns))
+    fails = " ".join(f"WHEN {cond} THEN '{reason}'" for cond, reason in _rules(columns, *breaks))
     names = ", ".join(columns)
     got = con.execute(
-        f"""SELECT n, [{names}] AS fields, CASE {fails} END AS reason FROM read_csv(?, columns = {spec}, auto_detect = false, header = false,
+        f"""SELECT n, z, [{names}] AS fields, CASE {fails} END AS reason FROM read_csv(?, columns = {spec}, auto_detect = false, header = false,
             delim = ?, quote = '"', escape = '"', new_line = '\\n', strict_mode = true, null_padding = false, ignore_errors = true,
-            store_rejects = true, rejects_limit = 0, parallel = false, max_line_size = {max(longest, 2_097_152)}, buffer_size = {max(16 * longest, 33_554_432)})""",
+            store_rejects = true, rejects_limit = 0, parallel = false, max_line_size = {longest}, buffer_size = {max(16 * longest, 1 << 16)})""",
         [paths, fd],
     ).df()
     bad = con.execute(
@@ -113,17 +113,18 @@ def _load(con, folder: str, texts: list[str], fd: str, columns: list[str]) -> li
     """(reason or None, fields) for each record."""
     nl, cr = _free_chars("".join(texts) + fd, 2)
     out: list[tuple[str | None, list | None] | None] = [None] * len(texts)
-    lines = [f"{k}{fd}" + x.replace("\n", nl).replace("\r", cr) for k, x in enumerate(texts)]
+    # a closing column, as DuckDB forgives empty columns too many at the end of a line
+    lines = [f"{k}{fd}" + x.replace("\n", nl).replace("\r", cr) + f"{fd}{k}" for k, x in enumerate(texts)]
     back = str.maketrans({nl: "\n", cr: "\r"})
 
-    def take(got: pd.DataFrame, bad: pd.DataFrame, ids: list[int] | None) -> None:
-        """ids: the record of each file; None: one file with all records, line by line."""
+    def take(got: pd.DataFrame, bad: pd.DataFrame, ids: list[int], together: bool) -> None:
+        """ids: the records line by line in one file, or else one in each file."""
         for file, line, kind in bad.itertuples(index=False):
-            k = int(line) - 1 if ids is None else ids[int(file)]
-            if 0 <= k < len(texts) and (ids is not None or kind in ("TOO MANY COLUMNS", "MISSING COLUMNS") and '"' not in texts[k]):
+            k = ids[int(line) - 1 if together else int(file)]
+            if not together or kind in ("TOO MANY COLUMNS", "MISSING COLUMNS") and '"' not in texts[k]:
                 out[k] = (_KIND.get(kind, kind.lower()), None)
-        for n, fields, reason in got.itertuples(index=False):
-            k = int(n) if n and n.isdecimal() else -1
+        for n, z, fields, reason in got.itertuples(index=False):
+            k = int(n) if n and n.isdecimal() and n == z else -1
             if not 0 <= k < len(texts) or out[k] is not None:
                 continue
             if any(v is not None and ("\n" in v or "\r" in v) for v in fields):
@@ -134,12 +135,12 @@ def _load(con, folder: str, texts: list[str], fd: str, columns: list[str]) -> li
     broken = [k for k, x in enumerate(texts) if ('"' in x or "\n" in x or "\r" in x) and not exact.fullmatch(x)]
     alone = set(broken)
     if texts:
-        # a broken record's line stays empty in the common file, which keeps the line numbers
-        take(*_read(con, folder, [["" if k in alone else x for k, x in enumerate(lines)]], fd, columns), None)
+        sound = [k for k in range(len(texts)) if k not in alone]
+        take(*_read(con, folder, [[lines[k] for k in sound]], fd, columns, (nl, cr)), sound, True)
         again = [k for k in range(len(texts)) if out[k] is None]
         for a in range(0, len(again), 500):
             part = again[a : a + 500]
-            take(*_read(con, folder, [[lines[k]] for k in part], fd, columns), part)
+            take(*_read(con, folder, [[lines[k]] for k in part], fd, columns, (nl, cr)), part, False)
     for k in broken:
         if out[k] is None or out[k][0] is None:
             out[k] = ("broken quoting", None)
