@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from examloom.llm import split, tokens
+from examloom.llm import quality, split, tokens
 from examloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +25,21 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"))
 
 
+def _common(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The frequent words: a fixed list."""
+    return sorted({r.word for r in table(spark, sf_dir, "common_words").select("word").distinct().collect() if r.word})
+
+
+def p9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), _common(spark, sf_dir))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_quality(spark, sf_dir).where("no_prose").select("doc_id")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p7_ids)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p7_ids, p9_found, p9_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
