@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from examloom.llm import quality, split, tokens
+from examloom.llm import canon, quality, split, tokens
 from examloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,21 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split_oversized(table(spark, sf_dir, "get_headers"))
 
 
+def _entered_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topics = table(spark, sf_dir, "extract_toc").selectExpr("'extract_toc' AS source_table", "toc_id AS row_id", "'topic' AS field", "topic AS name")
+    ratings = table(spark, sf_dir, "get_ratings").selectExpr("'get_ratings' AS source_table", "rating_id AS row_id", "'rating_name' AS field", "rating_name AS name")
+    return topics.unionAll(ratings)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canon.map_names(_entered_names(spark, sf_dir), table(spark, sf_dir, "canon_names")).select("source_table", "row_id", "canon_id")
+
+
+def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct names that mean no entry."""
+    return canon.resolve(_entered_names(spark, sf_dir).select("field", "name"), table(spark, sf_dir, "canon_names")).where("canon_id = 0").select("field", "name")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"))
 
@@ -39,7 +54,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p7_ids, p9_found, p9_quality)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_unmatched, p7_ids, p9_found, p9_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
