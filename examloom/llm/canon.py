@@ -58,7 +58,7 @@ ALIASES = {
 }
 
 STOP = ("of", "and", "for", "to", "the", "with", "on", "in", "a", "an", "s")
-CLOSING = {"section": 2, "comments": 3, "rating": 2, "component": 2}
+CLOSING = {"section": 2, "comments": 2, "rating": 2, "component": 2}
 
 
 def _lit(text: str) -> str:
