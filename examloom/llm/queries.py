@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from examloom.llm import canon, quality, split, tokens
+from examloom.llm import canon, mojibake, quality, split, tokens
 from examloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,14 @@ def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.resolve(_entered_names(spark, sf_dir).select("field", "name"), table(spark, sf_dir, "canon_names")).where("canon_id = 0").select("field", "name")
 
 
+def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.repair(table(spark, sf_dir, "get_headers"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_repaired(spark, sf_dir).where("garbled").select("topic_id")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"))
 
@@ -54,7 +62,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_unmatched, p7_ids, p9_found, p9_quality)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_unmatched, p5_found, p5_repaired, p7_ids, p9_found, p9_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
