@@ -229,11 +229,12 @@ def irep(x: np.ndarray, y: np.ndarray, names: list[str], seed: int = 7, max_rule
 def induce(df: DataFrame, common: Iterable[str], key: str = "doc_id", text: str = "text", labels: str | None = None, sample: int = SAMPLE) -> list[list[Condition]]:
     """Rules from a sample of at most `sample` labelled documents, those of the lowest hash of their text."""
     common = frozenset(common)
-    taken = df.where(F.col(text).rlike(r"\S")).select(F.monotonically_increasing_id().alias("id_"), F.col(text).alias("t_"), F.xxhash64(text).alias("h_"), *([F.col(labels).alias("y_")] if labels else []))
-    taken = taken.orderBy("h_", "id_").limit(sample)
-    rows = [r.asDict() for r in taken.collect()]
-    if not rows:
+    full = df.where(F.col(text).rlike(r"\S")).select(F.col(text).alias("t_"), F.xxhash64(text).alias("h_"), *([F.col(labels).alias("y_")] if labels else []))
+    lowest = full.select("h_").orderBy("h_").limit(sample).agg(F.max("h_")).first()[0]  # hashes first: texts of the sample only then
+    if lowest is None:
         return []
+    taken = full.where(F.col("h_") <= lowest).limit(sample)
+    rows = sorted((r.asDict() for r in taken.collect()), key=lambda r: (r["h_"], r["t_"]))
     y = np.array([bool(r["y_"]) if labels else label(r["t_"], common) for r in rows])
     words, at = frozenset(w for w in common if len(w) > 1), [STATS.index(f) for f in FEATURES]
     stats = [measure(r["t_"], words) for r in rows]

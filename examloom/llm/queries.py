@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from examloom.llm import canon, mojibake, quality, split, tokens
+from examloom.llm import canon, mojibake, quality, scan, split, tokens
 from examloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,14 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_repaired(spark, sf_dir).where("garbled").select("topic_id")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan.find(table(spark, sf_dir, "get_headers"), table(spark, sf_dir, "extract_toc")).where("noisy").select("source_table", "row_id")
+
+
+def p6_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan.repair(table(spark, sf_dir, "get_headers"), table(spark, sf_dir, "extract_toc"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"))
 
@@ -62,7 +70,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_unmatched, p5_found, p5_repaired, p7_ids, p9_found, p9_quality)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_unmatched, p5_found, p5_repaired, p6_found, p6_repaired, p7_ids, p9_found, p9_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
