@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from examloom.llm import canon, mojibake, quality, scan, split, tokens
+from examloom.llm import canon, mojibake, quality, scan, split, tokens, variants
 from examloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split_oversized(table(spark, sf_dir, "get_headers"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "get_headers_v1"))
+
+
 def _entered_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = table(spark, sf_dir, "extract_toc").selectExpr("'extract_toc' AS source_table", "toc_id AS row_id", "'topic' AS field", "topic AS name")
     ratings = table(spark, sf_dir, "get_ratings").selectExpr("'get_ratings' AS source_table", "rating_id AS row_id", "'rating_name' AS field", "rating_name AS name")
@@ -70,7 +74,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p4_found, p4_unmatched, p5_found, p5_repaired, p6_found, p6_repaired, p7_ids, p9_found, p9_quality)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p4_found, p4_unmatched, p5_found, p5_repaired, p6_found, p6_repaired, p7_ids, p9_found, p9_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
