@@ -350,7 +350,7 @@ def train(texts: DataFrame) -> Channel:
         fold()
         yield out()
 
-    got = texts.where(F.col("t").rlike(r"\S")).select("t").mapInPandas(count, "bucket long, n double").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    got = texts.where(F.col("t").rlike(r"\S")).select("t").mapInPandas(count, "bucket long, n double").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(UNI + BI, dtype=np.float32)
     table[got["bucket"].to_numpy()] = got["n"].to_numpy()
     table[_bucket("", UNI)] = 0
