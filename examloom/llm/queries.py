@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from examloom.llm import canon, mojibake, quality, scan, split, tokens, variants
+from examloom.llm import canon, mix, mojibake, quality, scan, split, tokens, variants
 from examloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,15 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"))
 
 
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each record is used."""
+    return mix.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
 def _common(spark: SparkSession, sf_dir: str) -> list[str]:
     """The frequent words: a fixed list."""
     return sorted({r.word for r in table(spark, sf_dir, "common_words").select("word").distinct().collect() if r.word})
@@ -74,7 +83,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p4_found, p4_unmatched, p5_found, p5_repaired, p6_found, p6_repaired, p7_ids, p9_found, p9_quality)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p4_found, p4_unmatched, p5_found, p5_repaired, p6_found, p6_repaired, p7_ids, p8_mix, p8_shares, p9_found, p9_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
