@@ -27,7 +27,9 @@ class Mapper:
 
     def guess(self, names: DataFrame) -> DataFrame:
         """(name) → (name, topic, score): the likeliest class of each distinct name."""
-        scored = self.model.transform(names.select("name").where("name IS NOT NULL").distinct().withColumn("text", F.col("name")))
+        scored = PipelineModel(self.model.stages[1:]).transform(  # without the indexer of labels
+            names.select("name").where("name IS NOT NULL").distinct().withColumn("text", F.col("name"))
+        )
         p = vector_to_array("probability")
         labels = F.array(*map(F.lit, self.labels))
         return scored.select("name", F.get(labels, F.col("prediction").cast("int")).alias("topic"), F.array_max(p).alias("score"))
