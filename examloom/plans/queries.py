@@ -11,7 +11,7 @@ from examloom.functions.dates import date_text, parse_date
 from examloom.functions.names import parse_name
 from examloom.operators import compliance, diagnostics, header, mapper, ratings, rejects, subtopics, toc, topics
 from examloom.plans import final
-from examloom.session import table
+from examloom.session import spread, table
 from examloom.sources import text as sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,7 +30,7 @@ def query(sql: str | None = None):
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "file_name", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "file_name", "text"))
 
 
 def _label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,17 +364,17 @@ def p3_found(spark, sf_dir):
 
 @query()
 def p3_rejected(spark, sf_dir):
-    return rejects.rejected(rejects.load_records(table(spark, sf_dir, "raw_records")))
+    return rejects.rejected(rejects.load_records(spread(table(spark, sf_dir, "raw_records"))))
 
 
 @query()
 def p3_typed_headers(spark, sf_dir):
-    return rejects.typed(rejects.load_records(table(spark, sf_dir, "raw_records")), "headers")
+    return rejects.typed(rejects.load_records(spread(table(spark, sf_dir, "raw_records"))), "headers")
 
 
 @query()
 def p3_typed_topics(spark, sf_dir):
-    return rejects.typed(rejects.load_records(table(spark, sf_dir, "raw_records")), "topics")
+    return rejects.typed(rejects.load_records(spread(table(spark, sf_dir, "raw_records"))), "topics")
 
 
 def queries() -> dict[str, Query]:
