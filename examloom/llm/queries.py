@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from examloom.llm import canon, mix, mojibake, quality, scan, split, tokens, variants
-from examloom.session import table
+from examloom.session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _heavy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(table(spark, sf_dir, name))
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells that come out in several pieces."""
     return split.split_oversized(table(spark, sf_dir, "get_headers")).where("n_pieces > 1 AND piece_no = 1").select("topic_id")
@@ -41,7 +45,7 @@ def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mojibake.repair(table(spark, sf_dir, "get_headers"))
+    return mojibake.repair(_heavy(spark, sf_dir, "get_headers"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,24 +53,24 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.find(table(spark, sf_dir, "get_headers"), table(spark, sf_dir, "extract_toc")).where("noisy").select("source_table", "row_id")
+    return scan.find(_heavy(spark, sf_dir, "get_headers"), _heavy(spark, sf_dir, "extract_toc")).where("noisy").select("source_table", "row_id")
 
 
 def p6_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.repair(table(spark, sf_dir, "get_headers"), table(spark, sf_dir, "extract_toc"))
+    return scan.repair(_heavy(spark, sf_dir, "get_headers"), _heavy(spark, sf_dir, "extract_toc"))
 
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.encode(table(spark, sf_dir, "documents"))
+    return tokens.encode(_heavy(spark, sf_dir, "documents"))
 
 
 def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each record is used."""
-    return mix.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+    return mix.mix(_heavy(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
 
 
 def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+    return mix.mix(_heavy(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
 def _common(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -75,7 +79,7 @@ def _common(spark: SparkSession, sf_dir: str) -> list[str]:
 
 
 def p9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(table(spark, sf_dir, "documents"), _common(spark, sf_dir))
+    return quality.judge(_heavy(spark, sf_dir, "documents"), _common(spark, sf_dir))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
