@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from examloom.functions.pyre import pyre
+from examloom.functions.pyre import let, pyre
 
 _NUMERIC = pyre(r"([0-9]{1,2})[/\-.]([0-9]{1,2})[/\-.]([0-9]{2})([0-9]{2})?(?:\s*$|\s+.*$)")
 _WORDS = pyre(r"([a-z]+)\s+([0-9 a-z]+)\s*[/\-.,]\s*([0-9]{2})([0-9]{2})?(?:\s*$|\s+.*$)", True)
@@ -27,7 +27,10 @@ def _year(short: Column, rest: Column) -> Column:
 
 def parse_date(text: Column) -> Column:
     """The first form that matches decides; an impossible date is null."""
-    s = F.regexp_replace(text, pyre(r"^\W+", match=False), "")
+    return let(F.regexp_replace(text, pyre(r"^\W+", match=False), ""), _parsed)
+
+
+def _parsed(s: Column) -> Column:
     part = lambda p, k: F.regexp_extract(s, p, k)
     date = lambda y, m, d: F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d), "yyyy-MM-dd")
     numeric = date(_year(part(_NUMERIC, 3), part(_NUMERIC, 4)), part(_NUMERIC, 1).cast("int"), part(_NUMERIC, 2).cast("int"))

@@ -62,3 +62,8 @@ def is_lower(c: Column) -> Column:
 
 def is_title(c: Column) -> Column:
     return (title(c) == c) & c.rlike(r"\p{L}")
+
+
+def let(value: Column, f) -> Column:
+    """f(value) with the value computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))

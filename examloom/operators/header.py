@@ -25,7 +25,8 @@ FIELDS = {
 _REGION = pyre(r"(^|.*\s+)region(\s*[:']\s*|\s+)(.*)?\s*$", True)
 _OTHER = pyre(r"(.*)?\s{5,}(certificate\s+num[bh]e[ir]|certificate|charter\s+num[bh]er|charter|field\s+offic\s*e|url)\s*:?\s*(.*)?\s*$", True)
 _CERT = pyre(r"(^|^.*\s+)(certificate\s+number)(\s*:\s*|\s+)(\w+).*$", True)
-_ANY = r"(?i)region|name|location|examin|certificate"
+#: What every wording holds, so that other lines aren't tried against all patterns.
+_ANY = r"(?i)region|name|location|certificate|examiner[\s\x1c-\x1f\x85\xa0\-]*in[\s\x1c-\x1f\x85\xa0\-]*charge|examination[\s\x1c-\x1f\x85\xa0\-]*(?:start|date|as)"
 
 
 def _field(p: str) -> str:
@@ -117,6 +118,8 @@ def header_fields(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     cut = lambda c: F.get(F.split(c, pyre(r"\s{3,}", match=False)), F.lit(0))
     start = parse_date(cut(F.coalesce(F.nullif(F.col("exam_start_date"), F.lit("")), F.col("exam_date"))))
     as_of = parse_date(cut(F.col("exam_as_of_date")))
+    df = df.withColumn("name_", name).withColumn("start_", start).withColumn("as_of_", as_of)  # each once, used by several columns
+    name, start, as_of = F.col("name_"), F.col("start_"), F.col("as_of_")
     return df.select(
         key, F.replace(title(region), F.lit(" "), F.lit("_")).alias("region"), punct(or_empty(F.col("certificate"))).alias("certificate_number"),
         F.replace(_named(filled("block_bank", "bank_name")), F.lit(" "), F.lit("_")).alias("bank_name"), _named(filled("block_location", "bank_location")).alias("bank_location"),
