@@ -48,8 +48,8 @@ def single_spaced(c: Column) -> Column:
 
 def title(c: Column) -> Column:
     """str.title(): a capital after every character that is no letter."""
-    chars = F.split(c, "")
-    return F.array_join(F.transform(chars, lambda x, i: F.when((i == 0) | ~F.coalesce(F.get(chars, i - 1), F.lit("")).rlike(r"\p{L}"), F.upper(x)).otherwise(F.lower(x))), "")
+    after_letter = lambda chars, i: F.coalesce(F.get(chars, i - 1), F.lit("")).rlike(r"\p{L}")
+    return let(F.split(c, ""), lambda chars: F.array_join(F.transform(chars, lambda x, i: F.when((i > 0) & after_letter(chars, i), F.lower(x)).otherwise(F.upper(x))), ""))
 
 
 def is_upper(c: Column) -> Column:
