@@ -71,3 +71,11 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", replacement: str |
         first = sep.join(c if len(sep) > 1 else f'"{c}"' if sep in c or '"' in c else c for c in df.columns)
         body = df.sparkSession.createDataFrame([(first,)], "value string").coalesce(1).unionAll(body)
     body.write.option("lineSep", "\r\n").text(path)
+
+
+def replicated(docs: DataFrame, times: int, name: str = "file_name", seed: int = 7) -> DataFrame:
+    """Each report `times` times, the digits of its name replaced by others that depend on name, copy and seed."""
+    copies = docs.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.lit(times)))) if times > 0 else docs.withColumn("copy_no", F.lit(0)).limit(0)
+    shift = lambda i: F.pmod(F.xxhash64(F.col(name), "copy_no", i, F.lit(seed)), F.lit(9)) + 1
+    chars = F.transform(F.split(name, ""), lambda c, i: F.when(c.rlike("^[0-9]$"), F.pmod(c.cast("int") + shift(i), F.lit(10)).cast("string")).otherwise(c))
+    return copies.withColumn(name, F.array_join(chars, ""))

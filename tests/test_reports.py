@@ -132,3 +132,12 @@ def test_classifiers(spark, labels, tmp_path):
         mapper.train(train, "svm")
     out = topics.resolve_topics(spark.createDataFrame([("ASSET QUALITY REVIEW",), ("Confidential notes",), ("Sabal  Palm bank",), ("capital adequac",)], "name string"), labels, m.guess)
     assert {r.name: r.kind for r in out.collect()} == {"ASSET QUALITY REVIEW": "actual", "Confidential notes": "predefined", "Sabal  Palm bank": "exception", "capital adequac": "guess"}
+
+
+def test_replicated(spark):
+    df = spark.createDataFrame([("a12.txt", "x"), (None, "y")], "file_name string, text string")
+    names = [r.file_name for r in sources.replicated(df, 3).collect()]
+    assert len(names) == 6 and names.count(None) == 3
+    for n in filter(None, names):
+        assert n[0] == "a" and n.endswith(".txt") and n[1] in "023456789" and n[2] in "013456789"
+    assert sources.replicated(df, 0).count() == 0
