@@ -4,8 +4,9 @@ Distinct spellings are cut into tokens. A symmetric-delete index over the blocki
 surname) joins spellings whose words are within small edit distance: words and all their one- and two-letter deletions
 meet by equality, nothing is compared to everything. Each candidate pair is then verified by the cheapest assignment of the
 tokens of the shorter name to those of the longer, where equal words, slips, abbreviations, initials and nicknames cost
-more in this order and unmatched words cost by what they carry. Frequent small words of the corpus (bank, national) are
-corrected and expanded before, by the same kind of index against the frequent words.
+more in this order. Words of banks are corrected and expanded before, by the same kind of index against the frequent words of
+the corpus (`SHARE` of its tokens, so at most 1/SHARE words at any size) and the fixed ones. Words that carry nothing (`EMPTY`,
+slips in them included) are left out; any other unmatched word keeps two names apart.
 
 Pairs of rows come out by joining the linked spellings back to their rows; a spelling that fits two people who exclude each
 other (a bare initial) is linked to neither of the two.
@@ -55,6 +56,8 @@ SHORT = {
 }
 #: Words that say little: how a bank is organised, articles and joints.
 EMPTY = frozenset("the of and na n.a ssb chartered inc incorporated corp fsb".split())
+#: A frequent word has this share of the tokens of all spellings; a frequent token that is this much rarer than a word is a slip in it.
+SHARE, RARER = 0.001, 20
 SUFFIX = {"jr": "jr", "junior": "jr", "sr": "sr", "senior": "sr", "ii": "ii", "iii": "iii", "iv": "iv"}
 ROLES = re.compile(r"\((?:eic|lead|examiner|acting|deceased)[^)]*\)|[-;,]\s*(?:examiner|eic|on site|lead|acting|fdic)\b.*$|^\s*(?:eic|mr|mrs|ms|dr)[.:]?\s+", re.I)
 
@@ -100,12 +103,51 @@ def short_for(a: str, b: str) -> bool:
     return all(c in it for c in a)
 
 
+class Lexicon:
+    """The frequent words of a corpus and the fixed ones, met by their deleted forms."""
+
+    def __init__(self, counts: dict[str, int] | None = None):
+        self.fixed = frozenset(SHORT) | frozenset(SHORT.values()) | EMPTY
+        self.counts = dict.fromkeys(sorted(self.fixed), 1) | (counts or {})
+        self.forms: dict[str, list[str]] = {}
+        for w in self.counts:
+            if _slips(w):
+                for form in deletes(w[:40], _slips(w)):
+                    self.forms.setdefault(form, []).append(w)
+        self.cache: dict[str, str] = {}
+
+    def correct(self, word: str) -> str:
+        """The frequent word that the word is a slip of (the nearest, then the most frequent), or the word."""
+        if word in self.fixed:
+            return word
+        found = self.cache.get(word)
+        if found is None:
+            own = self.counts.get(word, 0)
+            near = {w for form in deletes(word[:40], _slips(word)) for w in self.forms.get(form, ()) if self.counts[w] > RARER * own} - {word}
+            ranked = [(d, -self.counts[w], w) for w in near if (d := distance(word, w, 2)) <= _slips(min(word, w, key=len))]
+            found = min(ranked)[2] if ranked else word
+            if not ranked and word not in self.counts and len(word) in (3, 4) and any(distance(word, w, 1) <= 1 for w in ("the", "and", "inc")):
+                found = "the"  # a slip in a short word that carries nothing
+            if len(self.cache) >= 200_000:
+                self.cache.clear()
+            self.cache[word] = found
+        return found
+
+
+FIXED = Lexicon()
+
+
 @lru_cache(maxsize=200_000)
-def bank_tokens(name: str) -> tuple[str, ...]:
+def bank_words(name: str) -> tuple[str, ...]:
     text = re.sub(r"^\W*(?:bank name|name of bank|bank)\s*:\s*", "", name.lower().replace("_", " ")).replace("nat'l", "national")
     text = re.sub(r"\bf\.?\s?n\.?\s?b\b\.?", "1st national bank", text)
     text = re.sub(r"(?<=[a-z])-\s*(?=[a-z])", "", text)
-    words = re.findall(r"[^\W_]+|&", re.sub(r"['’]", "", text))
+    return tuple(re.findall(r"[^\W_]+|&", re.sub(r"['’]", "", text)))
+
+
+def bank_tokens(name: str, town: str = "", lexicon: Lexicon = FIXED) -> tuple[str, ...]:
+    """Words of a bank's name, corrected and expanded; those that are the town stay as they are."""
+    words = [w if town and distance(w, town, 2) <= _slips(w) else lexicon.correct(w) for w in bank_words(name)]
     return tuple(w for w in (SHORT.get(w, w) for w in words) if w not in EMPTY)
 
 
@@ -163,11 +205,11 @@ def _word_cost(a: str, b: str) -> float:
     return 0.35 if short_for(s, t) and len(t) > 3 else 9.0
 
 
-def same_bank(name_a: str, at_a: str, name_b: str, at_b: str, codes: dict[str, str] | None = None) -> bool:
+def same_bank(name_a: str, at_a: str, name_b: str, at_b: str, codes: dict[str, str] | None = None, lexicon: Lexicon = FIXED) -> bool:
     (town_a, state_a), (town_b, state_b) = place(at_a), place(at_b)
     if distance(town_a, town_b, 2) > min(2, max(_slips(town_a), _slips(town_b))) or not same_state(state_a, state_b, codes):
         return False
-    a, b = bank_tokens(name_a), bank_tokens(name_b)
+    a, b = bank_tokens(name_a, town_a, lexicon), bank_tokens(name_b, town_b, lexicon)
     # a name may add its own town
     near_town = lambda w: distance(w, town_a, 2) <= _slips(town_a)
     full_a, full_b = a, b
@@ -334,12 +376,25 @@ def state_codes(keys: DataFrame) -> dict[str, str]:
     return {r.code: r.state for r in best.orderBy("code").limit(676).collect()}  # there are 676 codes of two letters
 
 
+def frequent_words(keys: DataFrame) -> dict[str, int]:
+    """Words with at least SHARE of the tokens of all spellings → their number."""
+
+    @F.pandas_udf("array<string>")
+    def cut(names: pd.Series) -> pd.Series:
+        return pd.Series([list(bank_words(x)) for x in names], dtype=object)
+
+    words = keys.select(F.explode(cut("bank_name")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    total = words.agg(F.sum("n").alias("total"))
+    found = words.crossJoin(total).where((F.col("n") >= SHARE * F.col("total")) & (F.col("n") > 2))
+    return {r.word: r.n for r in found.select("word", "n").orderBy("word").collect()}  # at most 1/SHARE
+
+
 def bank_links(rows: DataFrame) -> DataFrame:
     columns = ["bank_name", "bank_location"]
     rows = rows.where("trim(bank_name) <> '' AND trim(bank_location) <> ''")
     keys = materialise(_keys(rows, columns), "banks")
-    codes = state_codes(keys)
-    return _rows(rows, columns, linked(keys, _town, lambda *v: same_bank(*v, codes), columns), "bank")
+    codes, lexicon = state_codes(keys), Lexicon(frequent_words(keys))
+    return _rows(rows, columns, linked(keys, _town, lambda *v: same_bank(*v, codes, lexicon), columns), "bank")
 
 
 def examiner_links(rows: DataFrame) -> DataFrame:

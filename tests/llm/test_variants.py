@@ -49,6 +49,23 @@ def test_banks():
     assert not V.same_bank("Pioneer Savings Bank", "Falortipool, Wendomin", "Pioneer Savings Bank", "Falortipool, Quorrin")
 
 
+def test_slips_in_frequent_words():
+    at = "Dunomplomouth, Tamberlin"
+    for slip in ("Firrst", "Fisrt", "Firts", "Firat", "Fist"):
+        assert V.same_bank("First National Bank of Dunomplomouth", at, f"{slip} National Bank of Dunomplomouth", at), slip
+    assert V.same_bank("Pioneer Savings Bank, Chartered", at, "Pioneer Savings Bank, Chartdred", at)
+    assert V.same_bank("Pioneer Bank and Trust Company", at, "Pioneer Bank adn Trst Company", at)
+    lexicon = V.Lexicon({"harborview": 500, "harborvied": 3})
+    assert lexicon.correct("habrorvieww") == lexicon.correct("harborvied") == "harborview"
+    assert V.bank_tokens("Pioneer Savinsg Bank of Trusd", "trust", lexicon) == ("pioneer", "savings", "bank", "trusd")
+
+
+def test_frequent_words(spark):
+    df = spark.createDataFrame([(i, f"Harborview Bank {chr(97 + i % 26) * 9}") for i in range(60)], "id long, bank_name string")
+    got = V.frequent_words(df)
+    assert got["harborview"] == got["bank"] == 60 and got["a" * 9] == 3 and len(got) == 10
+
+
 def test_people():
     for a, b in [("Skelendseman, Gerry", "Gerald K. Skelendseman"), ("(EIC) Margaret P. Holi-ntdiski ", "Meg Holintdiski"), ("GRIESKPUDEZ Jennifer", "J. M. Grieskpudez"), ("Wil. F Peledshimark", "William F. Peledshimark; on site"), ("Chris Holim gradorf", "Chirstopher Holimgradorf"), ("Frederick Osufsleham Sr.", "F. P. Osufsleham Sr. (Lead)")]:
         assert V.same_person(a, b), (a, b, V.person(a), V.person(b))
