@@ -8,8 +8,9 @@ more in this order. Words of banks are corrected and expanded before, by the sam
 the corpus (`SHARE` of its tokens, so at most 1/SHARE words at any size) and the fixed ones. Words that carry nothing (`EMPTY`,
 slips in them included) are left out; any other unmatched word keeps two names apart.
 
-Pairs of rows come out by joining the linked spellings back to their rows; a spelling that fits two people who exclude each
-other (a bare initial) is linked to neither of the two.
+Pairs of rows come out by joining the linked spellings back to their rows. A bare initial that fits two people who exclude each
+other is linked to neither of the two. A name without a middle name that fits several keeps links to the one with most rows by
+far, if any, and to other names without a middle name.
 
 Defined results: rows with a null or blank name (or location) have no pairs, and neither have equal spellings. Rows repeated
 under another serial number count as rows. Extra columns are dropped.
@@ -58,6 +59,8 @@ SHORT = {
 EMPTY = frozenset("the of and na n.a ssb chartered inc incorporated corp fsb".split())
 #: A frequent word has this share of the tokens of all spellings; a frequent token that is this much rarer than a word is a slip in it.
 SHARE, RARER = 0.001, 20
+#: Rows with one middle initial against those with any other, from which on the others are exceptions.
+CLEAR = 4
 SUFFIX = {"jr": "jr", "junior": "jr", "sr": "sr", "senior": "sr", "ii": "ii", "iii": "iii", "iv": "iv"}
 ROLES = re.compile(r"\((?:eic|lead|examiner|acting|deceased)[^)]*\)|[-;,]\s*(?:examiner|eic|on site|lead|acting|fdic)\b.*$|^\s*(?:eic|mr|mrs|ms|dr)[.:]?\s+", re.I)
 
@@ -400,16 +403,18 @@ def bank_links(rows: DataFrame) -> DataFrame:
 def examiner_links(rows: DataFrame) -> DataFrame:
     columns = ["examiner_in_charge"]
     rows = rows.where("trim(examiner_in_charge) <> ''")
-    keys = materialise(_keys(rows, columns), "examiners")
+    counted = rows.groupBy(*columns).agg(F.count("*").alias("n")).withColumn("id", F.xxhash64(*columns))
+    keys = materialise(counted, "examiners")
     links = materialise(linked(keys, _surname, same_person, columns), "people")
     return _rows(rows, columns, _unambiguous(keys, links), "examiner")
 
 
 def _unambiguous(keys: DataFrame, links: DataFrame) -> DataFrame:
-    """Without the links of spellings that have neighbours of two different people.
+    """Without the links of spellings to neighbours of two different people. keys: (id, examiner_in_charge, n rows).
 
-    Of each spelling the linked full given names and middle initials are counted, weighed by links: a
-    bare initial or a missing middle name that meets two of them is ambiguous, and keeps no link to either.
+    A bare initial that meets two different given names is ambiguous and keeps no link. A name without a middle name that meets
+    different middle initials, weighed by their rows, keeps links to the one that has `CLEAR` times the rows of all others (to none
+    if none has), and in any case to names without a middle name.
     """
 
     @F.pandas_udf("given string, middle string, bare boolean, open boolean")
@@ -421,20 +426,22 @@ def _unambiguous(keys: DataFrame, links: DataFrame) -> DataFrame:
             out.append((given, first[1][0] if len(first) > 1 else "", len(given) <= 1, len(first) < 2))
         return pd.DataFrame(out, columns=["given", "middle", "bare", "open"])
 
-    named = keys.select("id", parts("examiner_in_charge").alias("p")).select("id", "p.*")
+    named = keys.select("id", "n", parts("examiner_in_charge").alias("p")).select("id", "n", "p.*")
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = both.join(named.withColumnRenamed("id", "b"), "b")
-    seen = near.groupBy("a").agg(
-        F.array_sort(F.collect_set(F.when(~F.col("bare"), F.col("given")))).alias("givens"), F.collect_set(F.when(F.col("middle") != "", F.col("middle"))).alias("middles")
-    )
+    seen = near.groupBy("a").agg(F.array_sort(F.collect_set(F.when(~F.col("bare"), F.col("given")))).alias("givens"))
+    rows = near.where("middle <> ''").groupBy("a", "middle").agg(F.sum("n").alias("w"))
+    most = rows.groupBy("a").agg(F.max_by("middle", F.struct("w", "middle")).alias("most"), F.max("w").alias("top"), F.sum("w").alias("every"), F.count("*").alias("kinds")).where("kinds > 1")
+    meant = most.join(named.where("open").select(F.col("id").alias("a")), "a", "left_semi").select("a", F.when(F.col("top") >= CLEAR * (F.col("every") - F.col("top")), F.col("most")).alias("meant"))
+    other = near.where("middle <> ''").join(meant, "a").where("meant IS NULL OR meant <> middle").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     @F.pandas_udf("boolean")
     def differ(givens: pd.Series) -> pd.Series:
         return pd.Series([any(given_cost(x, y) >= 9 for i, x in enumerate(g) for y in g[:i]) for g in (list(v) for v in givens)])
 
     own = named.join(seen.withColumnRenamed("a", "id"), "id")
-    doubtful = own.where((F.col("bare") & differ("givens")) | (F.col("open") & (F.size("middles") > 1))).select("id")
-    out = links.join(doubtful.withColumnRenamed("id", "a"), "a", "left_anti")
+    doubtful = own.where(F.col("bare") & differ("givens")).select("id")
+    out = links.join(other, ["a", "b"], "left_anti").join(doubtful.withColumnRenamed("id", "a"), "a", "left_anti")
     return out.join(doubtful.withColumnRenamed("id", "b"), "b", "left_anti").select("a", "b")
 
 

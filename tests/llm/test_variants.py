@@ -73,6 +73,18 @@ def test_people():
         assert not V.same_person(a, b), (a, b)
 
 
+def test_middle_initials_by_rows(spark):
+    def pairs(names):
+        df = spark.createDataFrame([(i, "", "", n) for i, n in enumerate(names)], "serial_no long, bank_name string, bank_location string, examiner_in_charge string")
+        return {frozenset((names[r.serial_a], names[r.serial_b])) for r in V.examiner_links(df).collect()}
+
+    full, odd, plain = "Susan A. Wexlerand", "Susan S. Wexlerand", ["Susan Wexlerand", "Wexlerand, Susan", "SUSAN WEXLERAND"]
+    among = {frozenset(p) for p in itertools.combinations(plain, 2)}
+    assert pairs([full] * 5 + [odd] + plain) == among | {frozenset((full, p)) for p in plain}
+    assert pairs([full, odd] + plain) == among
+    assert pairs([full] * 5 + ["S. Wexlerand", "Steven Wexlerand", plain[0]]) == {frozenset((full, plain[0]))}
+
+
 def test_pairs_like_all_pairs(spark):
     """The index loses no pair that the verification accepts."""
     rows = table(spark, "/root/testdata/sf0.001", "get_headers_v1").unionAll(table(spark, "/root/testdata/sf0.01", "get_headers_v1").where("serial_no > 300"))
