@@ -22,9 +22,9 @@ def topic_hits(docs: DataFrame, label_map: DataFrame, guess=None, key: str = "do
 
 
 def final_table(
-    docs: DataFrame, label_map: DataFrame, ratings_map: DataFrame, topic_names: list[str], rating_names: list[str], guess=None, split: int = 1, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, label_map: DataFrame, ratings_map: DataFrame, topic_names: list[str], rating_names: list[str], guess=None, split: int = 0, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """serial_no, file_name, 13 header columns, five columns per rating, `split` columns per topic and for Confidential.
+    """serial_no, file_name, 13 header columns, five columns per rating, `split` columns (0: one with the whole text) per topic and for Confidential.
 
     docs: (key, file_name, text). The names are fixed beforehand, so the columns are known before any data is read. Texts with
     more pieces than `split` keep the first ones here; topics.split_cells() has all of them.
@@ -33,9 +33,10 @@ def final_table(
     fields = header.header_fields(docs, key, text)
     table = ratings.map_ratings(ratings.rating_tables(docs, key, text), ratings_map, key)
     wide = ratings.rating_columns(docs, table, ratings.text_ratings(docs, ratings_map, key, text), rating_names, key)
-    cells = topics.split_cells(topics.topic_texts(docs, topic_hits(docs, label_map, guess, key, text), key, text), key)
+    texts = topics.topic_texts(docs, topic_hits(docs, label_map, guess, key, text), key, text)
+    cells = topics.split_cells(texts, key) if split else texts.select(key, "topic", F.lit(1).alias("piece_no"), F.col("topic_text").alias("piece"))
     names = [*dict.fromkeys([*topic_names, "Confidential"])]
-    cols = [(n, i, column(n) + (f"_{i}" if split > 1 else "")) for n in names for i in range(1, split + 1)]
+    cols = [(n, i, column(n) + (f"_{i}" if split > 1 else "")) for n in names for i in range(1, max(split, 1) + 1)]
     pivot = cells.groupBy(key).agg(*[F.first(F.when((F.col("topic") == n) & (F.col("piece_no") == i), F.col("piece")), True).alias(c) for n, i, c in cols])
     out = serial.join(fields, key, "left").join(wide, key, "left").join(pivot, key, "left")
     order = ["serial_no", "file_name", *[c for c in fields.columns if c != key], *[c for c in wide.columns if c != key], *[c for _, _, c in cols]]

@@ -87,6 +87,13 @@ def test_final_table(docs, labels, names):
     assert final.final_table(docs.limit(0), labels, names, ["Capital Adequacy"], ["Capital"]).count() == 0
 
 
+def test_final_table_keeps_long_texts(spark, labels, names):
+    body = "\r\n".join(f"line {i} " + "x" * 90 for i in range(1500))
+    df = spark.createDataFrame([(1, "a.txt", "\x0cCapital Adequacy\r\n" + body + "\r\n\x0cAsset Quality Review\r\nend")], "doc_id long, file_name string, text string")
+    row = final.final_table(df, labels, names, ["Asset Quality Review", "Capital Adequacy"], ["Capital"]).first()
+    assert row.Capital_Adequacy == "Capital Adequacy\r\n" + body and row.Asset_Quality_Review == "Asset Quality Review\r\nend"
+
+
 def test_diagnostics(spark):
     df = spark.createDataFrame([(1, "ab\nA1z"), (2, "x\r\n"), (3, ""), (4, None)], "doc_id long, text string")
     assert sorted((r.doc_id, r.line_no, r.length) for r in diagnostics.line_lengths(df).collect()) == [(1, 1, 3), (1, 2, 3), (2, 1, 2)]
