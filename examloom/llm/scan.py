@@ -1,23 +1,25 @@
 """Noise of scanned pages: found and repaired into continuous paragraphs.
 
 A noisy channel: the probability that a character was misread (`CONFUSIONS`) times the
-likelihood of the words (unigrams and bigrams of the corpus, in hash tables of fixed size). Every line with a doubtful word is
+likelihood of the words (unigrams and bigrams of the corpus, counted exactly). Every line with a doubtful word is
 decoded by Viterbi over the candidate words of each place; a word is misread where the best path differs from what
 stands there. Words broken at a line end or by a space are joined if the corpus knows the whole better than the parts; a compound
 wrapped at its own hyphen stays. Running headers, page numbers and spaced-out words are told by their form and place.
 
 Slips of typing have no path through the channel, so they stay. Wrong encoding alone doesn't count.
 
-Counts are taken over all rows; what is sent to the workers is two arrays of `UNI` and `BI` buckets at any size.
+Counts are taken over all rows, by keys of 64 bits that are kept, so no word answers for another. Sent to the workers are the words
+with a letter, the other words seen twice or more, and the pairs of words seen twice or more: a word seen once stands in one pair
+before and one after it, those of its own place, so what is left out is known to be 1 there and 0 elsewhere.
 
 Defined results: null, empty and blank texts hold no noise and stay. Repeated rows are treated alike; other columns are dropped.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import pairwise
@@ -27,9 +29,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-UNI, BI = 1 << 20, 1 << 21
+from examloom.session import materialise
+
 FLUSH = 300_000
 CACHE = 400_000
+MASK, SIGN = (1 << 64) - 1, 1 << 63
 
 # What is seen, what was printed, and the first guess of how often.
 CONFUSIONS = [
@@ -56,8 +60,39 @@ ENTRY_ODD = re.compile(r"[A-Za-z][|!@][A-Za-z]|[A-Za-z]{2}[01589][a-z]")
 ENTRY_TAIL = re.compile(r"(?:(?:\s*[._•…·]){3,}\s*|\s{4,})(?:[0-9OIlSB]{1,4}|[ivxl]{1,6})\s*$")
 
 
-def _bucket(text: str, size: int) -> int:
-    return zlib.crc32(text.encode("utf-8", "replace")) & (size - 1)
+def _key(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True) or 1
+
+
+def _pair(a: int, b: int) -> int:
+    """The key of two words beside each other."""
+    x = (a * 0x9E3779B97F4A7C15 ^ b) * 0xC2B2AE3D27D4EB4F & MASK
+    x ^= x >> 32
+    return (x ^ SIGN) - SIGN or 1
+
+
+class Counts:
+    """Key → count, exact: slots for twice the keys or more, each with its key, the next free one taken on a clash."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray):
+        self.mask = (1 << max(4, int(len(keys) * 2).bit_length())) - 1
+        self.keys, self.n = np.zeros(self.mask + 1, dtype=np.int64), np.zeros(self.mask + 1, dtype=np.float32)
+        left, at = np.arange(len(keys)), keys & self.mask
+        while len(left):
+            free = self.keys[at] == 0
+            slots, first = np.unique(at[free], return_index=True)
+            won = left[free][first]
+            self.keys[slots], self.n[slots] = keys[won], n[won]
+            rest = self.keys[at] != keys[left]
+            left, at = left[rest], (at[rest] + 1) & self.mask
+
+    def __getitem__(self, key: int) -> float:
+        at = key & self.mask
+        while found := self.keys.item(at):
+            if found == key:
+                return self.n.item(at)
+            at = (at + 1) & self.mask
+        return 0.0
 
 
 def _core(word: str) -> str:
@@ -67,14 +102,32 @@ def _core(word: str) -> str:
 class Channel:
     """Corpus counts, confusion probabilities, and decoding."""
 
-    def __init__(self, uni: np.ndarray, bi: np.ndarray, total: float):
+    def __init__(self, uni: Counts, bi: Counts, total: float):
         self.uni, self.bi, self.total = uni, bi, max(total, 1.0)
         self.confusions = {(seen, true): math.log(p) for seen, true, p in CONFUSIONS}
         self.cache: dict[str, tuple] = {}
+        self.keys: dict[str, int] = {}
         self.good: set[str] = set()
 
     def count(self, word: str) -> float:
-        return float(self.uni[_bucket(word, UNI)])
+        """How often the corpus has the word; a word without a letter that isn't kept stands where it is asked for, once."""
+        if not word:
+            return 0.0
+        return self.uni[self.key(word)] or (0.0 if any(map(str.isalpha, word)) else 1.0)
+
+    def beside(self, u: str, v: str, seen: bool) -> float:
+        """How often the corpus has the pair; seen: it stands in the text itself."""
+        if seen and (self.count(u) == 1 or self.count(v) == 1):
+            return 1.0
+        return self.bi[_pair(self.key(u), self.key(v))]
+
+    def key(self, word: str) -> int:
+        found = self.keys.get(word)
+        if found is None:
+            if len(self.keys) >= CACHE:
+                self.keys.clear()
+            found = self.keys[word] = _key(word)
+        return found
 
     def options(self, word: str) -> tuple[tuple[str, float], ...]:
         """Candidates for what was printed, with log P(seen | printed): the word itself first."""
@@ -134,7 +187,7 @@ class Channel:
                 own = self.prior(v)
                 best = None
                 for u, _ in before:
-                    n = float(self.bi[_bucket(u + " " + v, BI)])
+                    n = self.beside(u, v, u == before[0][0] and v == place[0][0])
                     c = self.count(u)
                     move = math.log((n + 5 * math.exp(own)) / (c + 5)) if (c or n) and v not in rare and u not in rare else own
                     total = score[u] + max(own - 1.0, min(move, 0.0))
@@ -319,14 +372,14 @@ def train(texts: DataFrame) -> Channel:
         uni, bi = Counter(), Counter()
 
         def out() -> pd.DataFrame:
-            keys = np.fromiter((_bucket(w, UNI) for w in uni), dtype=np.int64, count=len(uni))
-            pairs = np.fromiter((UNI + _bucket(f"{a} {b}", BI) for a, b in bi), dtype=np.int64, count=len(bi))
-            n = np.fromiter([*uni.values(), *bi.values()], dtype=np.int64, count=len(uni) + len(bi))
-            at, where = np.unique(np.concatenate([keys, pairs]), return_inverse=True)
-            sums = np.bincount(where, weights=n, minlength=len(at)) if len(at) else np.zeros(0)
+            keys = {w: _key(w) for w in uni}
+            a = [*keys.values(), *[keys[u] for u, _ in bi]]
+            b = [0] * len(uni) + [keys[v] for _, v in bi]
+            letter = [any(map(str.isalpha, w)) for w in uni] + [False] * len(bi)
+            got = pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64), "letter": np.array(letter, dtype=bool), "n": np.array([*uni.values(), *bi.values()], dtype=np.float64)})
             uni.clear()
             bi.clear()
-            return pd.DataFrame({"bucket": at, "n": sums})
+            return got
 
         raw_uni, raw_bi = Counter(), Counter()
 
@@ -350,11 +403,19 @@ def train(texts: DataFrame) -> Channel:
         fold()
         yield out()
 
-    got = texts.where(F.col("t").rlike(r"\S")).select("t").mapInPandas(count, "bucket long, n double").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(UNI + BI, dtype=np.float32)
-    table[got["bucket"].to_numpy()] = got["n"].to_numpy()
-    table[_bucket("", UNI)] = 0
-    return Channel(table[:UNI].copy(), table[UNI:].copy(), float(table[:UNI].sum()))
+    rows = texts.where(F.col("t").rlike(r"\S")).select("t").mapInPandas(count, "a long, b long, letter boolean, n double")
+    counted = materialise(rows.groupBy("a", "b").agg(F.max("letter").alias("letter"), F.sum("n").alias("n")), "counts")
+    words, pairs = counted.where("b = 0"), counted.where("b <> 0")
+    total = words.where(F.col("a") != _key("")).agg(F.sum("n")).first()[0] or 0.0
+    for side in "ab":
+        pairs = pairs.join(words.where("n = 1").select(F.col("a").alias(side)), side, "left_anti")
+    uni = words.where((F.col("a") != _key("")) & (F.col("letter") | (F.col("n") > 1))).select("a", "n").toArrow()
+    bi = pairs.select("a", "b", "n").toArrow()
+    a, b = (bi[x].to_numpy().astype(np.int64).view(np.uint64) for x in "ab")
+    x = (a * np.uint64(0x9E3779B97F4A7C15) ^ b) * np.uint64(0xC2B2AE3D27D4EB4F)
+    x = (x ^ x >> np.uint64(32)).view(np.int64)
+    x[x == 0] = 1
+    return Channel(Counts(uni["a"].to_numpy(), uni["n"].to_numpy()), Counts(x, bi["n"].to_numpy()), total)
 
 
 def _all(topics: DataFrame, entries: DataFrame) -> DataFrame:

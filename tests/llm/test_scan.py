@@ -41,6 +41,19 @@ def test_entries(reader):
         assert reader.repair(text, True) == plain
 
 
+def test_counts_are_exact(spark):
+    """A misread rare word is found beside any number of words seen once."""
+    text = "the comrnittee approved " + "the committee reviewed " * 12
+    rows = [(text,), *[(" ".join(f"w{i * 1000 + k}x {i * 1000 + k}" for k in range(1000)),) for i in range(1500)]]
+    c = scan.train(spark.createDataFrame(rows, "t string"))
+    assert c.count("committee") == 12 and c.count("comrnittee") == 1 and c.count("reviewed") == 12
+    assert {c.count(f"w{k}x") for k in range(0, 1_500_000, 997)} == {1} and c.count("nowhere") == 0
+    assert c.beside("committee", "reviewed", False) == 12 and c.beside("the", "approved", False) == 0
+    assert c.beside("the", "comrnittee", True) == 1 and c.total == len(text.split()) + 3_000_000
+    assert c.decode("the comrnittee reviewed".split()) == [None, "committee", None]
+    assert scan._pair(-5, 7) != scan._pair(7, -5)
+
+
 def test_edges(spark, reader):
     topics = spark.createDataFrame([(1, None), (2, ""), (3, " \n"), (4, "x" * 200_000), (4, "x" * 200_000), (None, "ok then")], "topic_id long, topic_text string")
     entries = spark.createDataFrame([(1, None), (2, ""), (3, "12")], "toc_id long, topic string")
