@@ -2,51 +2,71 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from examloom.functions.pyre import is_upper, pyre, single_spaced, strip
+from examloom.functions.pyre import is_upper, let, pyre, single_spaced, strip
 from examloom.sources.text import line_array
 
 # Fixed values
 IGNORED = pyre(r"(?:.*\(\s*continued\s*\).*|(?:^|\s+)Table\s*of\s*Contents(?:\s+|$).*|\s*$)", True)
 NUMBERED = pyre(r"\s*(.*)\s{20,}[\-/a-zA-Z0-9\s]*$")
 CONFIDENTIAL = pyre(r"\s*confidential(\s*|\s+.*)$", True)
+#: Headings that are no topic, in lower case with single spaces: those of one site, given as default.
 EXCEPTIONS = ("sabal palm bank",)
 LIMIT = 32_000
 
 
-def without_number(heading: Column, times: int = 3) -> Column:
+def without_number(heading: Column) -> Column:
     """Without page numbers far to the right, again and again; a heading without one stays as it is."""
-    for _ in range(times):
-        s = strip(heading)
-        heading = F.when(s.rlike(NUMBERED), F.regexp_extract(s, NUMBERED, 1)).otherwise(heading)
-    return heading
+
+    def once(h: Column, _: Column) -> Column:
+        return let(strip(h), lambda s: F.when(s.rlike(NUMBERED), F.regexp_extract(s, NUMBERED, 1)).otherwise(h))
+
+    # each removal takes 20 characters or more, so there are no more of them than this
+    rounds = F.sequence(F.lit(1), F.floor(F.length(heading) / 20).cast("int") + 1)
+    return F.when(F.length(heading) < 20, heading).otherwise(F.aggregate(rounds, heading, once))
+
+
+def heads(text: Column) -> Column:
+    """array of struct(line_idx from 0, heading, char_offset) of the lines that begin with a form feed, but for continuations and contents.
+
+    The text is cut at these lines, so only the sections are gone through, not the lines in them.
+    """
+    unified = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), r"\n\z", "")
+    breaks = lambda s: F.length(s) - F.length(F.replace(s, F.lit("\n"), F.lit("")))
+    sized = lambda parts: F.transform(parts, lambda s: F.struct(F.substring_index(s, "\n", 1).alias("head"), breaks(s).alias("n"), (F.length(F.replace(s, F.lit("\f"), F.lit(""))) + breaks(s)).alias("size")))
+    start = F.struct(F.lit(0).alias("line"), F.lit(0).cast("long").alias("offset"), F.array().cast("array<struct<line:int,offset:bigint>>").alias("places"))
+
+    def add(acc: Column, s: Column) -> Column:
+        line, offset = acc["line"] + s["n"], acc["offset"] + s["size"]
+        return F.struct(line.alias("line"), offset.alias("offset"), F.array_append(acc["places"], F.struct(line.alias("line"), offset.alias("offset"))).alias("places"))
+
+    def named(parts: Column) -> Column:
+        places = F.aggregate(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), start, add)["places"]
+        at = F.zip_with(places, F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p, s: F.struct(p["line"].alias("line_idx"), s["head"].alias("head"), (p["offset"] + 2).alias("char_offset")))
+        some = F.filter(at, lambda x: (x["head"] != "") & ~x["head"].rlike(IGNORED))
+        return F.filter(F.transform(some, lambda x: F.struct(x["line_idx"].alias("line_idx"), without_number(x["head"]).alias("heading"), x["char_offset"].alias("char_offset"))), lambda x: x["heading"] != "")
+
+    return let(sized(F.split(unified, r"(?dm)^\f")), named)
 
 
 def headings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, line_idx from 0, heading, char_offset): lines that begin with a form feed, but for continuations and contents.
+    """(key, line_idx from 0, heading, char_offset).
 
     char_offset counts the characters before with line ends of two, form feeds apart, and two for the line itself.
     """
-    some = docs.where(F.contains(F.col(text), F.lit("\f")))
-    arr = some.select(key, line_array(F.col(text)).alias("lines"))
-    sizes = F.transform("lines", lambda x: F.length(F.replace(x, F.lit("\f"), F.lit(""))) + 2)
-    sums = F.aggregate(sizes, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
-    flagged = arr.select(key, "lines", sums.alias("sums")).select(key, "sums", F.posexplode("lines").alias("line_idx", "line")).where(F.startswith("line", F.lit("\f")) & (F.length("line") > 1))
-    heads = flagged.select(key, "line_idx", F.expr("substr(line, 2)").alias("head"), (F.get("sums", F.col("line_idx")) + 2).cast("long").alias("char_offset"))
-    heads = heads.where(~F.col("head").rlike(IGNORED)).withColumn("heading", without_number(F.col("head")))
-    return heads.where("heading <> ''").select(key, "line_idx", "heading", "char_offset")
+    return docs.where(F.contains(F.col(text), F.lit("\f"))).select(key, F.inline(heads(F.col(text))))
 
 
-def exception(topic: Column) -> Column:
-    return (topic == "") | F.lower(single_spaced(topic)).isin(*EXCEPTIONS)
+def exception(topic: Column, exceptions: Iterable[str] = EXCEPTIONS) -> Column:
+    return (topic == "") | F.lower(single_spaced(topic)).isin(*exceptions)
 
 
-def resolve_topics(names: DataFrame, label_map: DataFrame, guess: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def resolve_topics(names: DataFrame, label_map: DataFrame, guess: Callable[[DataFrame], DataFrame] | None = None, exceptions: Iterable[str] = EXCEPTIONS) -> DataFrame:
     """(name) → (name, topic, score, kind): exact text, upper-case text, class name, confidential, guess; each name once.
 
     label_map: (ord, text, topic); of equal texts the last counts, of texts equal in upper case the first. guess: a
@@ -57,8 +77,9 @@ def resolve_topics(names: DataFrame, label_map: DataFrame, guess: Callable[[Data
     upper = label_map.groupBy(F.upper("text").alias("name")).agg(F.min_by("topic", "ord").alias("upper"))
     classes = label_map.select(F.col("topic").alias("name"), F.col("topic").alias("class")).distinct()
     joined = names.join(exact, "name", "left").join(upper, "name", "left").join(classes, "name", "left")
-    topic = F.when(exception(F.col("name")), None).otherwise(F.coalesce("exact", F.when(is_upper(F.col("name")), F.col("upper")), "class", F.when(F.col("name").rlike(CONFIDENTIAL), "Confidential")))
-    kind = F.when(exception(F.col("name")), "exception").when(F.col("exact").isNotNull() | is_upper(F.col("name")) & F.col("upper").isNotNull() | F.col("class").isNotNull(), "actual").when(F.col("name").rlike(CONFIDENTIAL), "predefined").otherwise("guess")
+    none = exception(F.col("name"), exceptions)
+    topic = F.when(none, None).otherwise(F.coalesce("exact", F.when(is_upper(F.col("name")), F.col("upper")), "class", F.when(F.col("name").rlike(CONFIDENTIAL), "Confidential")))
+    kind = F.when(none, "exception").when(F.col("exact").isNotNull() | is_upper(F.col("name")) & F.col("upper").isNotNull() | F.col("class").isNotNull(), "actual").when(F.col("name").rlike(CONFIDENTIAL), "predefined").otherwise("guess")
     known = joined.select("name", topic.alias("topic"), F.when(kind == "exception", -1.0).when(kind == "guess", 0.0).otherwise(1.0).alias("score"), kind.alias("kind"))
     if guess is None:
         return known
@@ -115,7 +136,3 @@ def split_cells(texts: DataFrame, key: str = "doc_id", newline: str = "\r\n", li
     short = texts.where(size <= limit).select(key, "topic", F.lit(1).alias("piece_no"), F.array_join("lines", newline).alias("piece"))
     long = texts.where(size > limit).select(F.col(key).alias("k"), "topic", "lines").mapInPandas(run, f"{key} {kind}, topic string, piece_no int, piece string")
     return short.unionByName(long)
-
-
-def column_name(header: Column) -> Column:
-    return F.regexp_replace(F.replace(F.regexp_replace(header, "[-/]", " "), F.lit("'"), F.lit("")), " +", "_")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,9 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is configured (local runs, tests)."""
+    """The shared folder of the cluster; a temporary one only in local runs (tests), an error where a cluster names none."""
     found = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + os.path.join(tempfile.gettempdir(), "examloom-checkpoints")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from examloom.session import materialise
+
 
 def read_reports(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", pattern: str | None = None) -> DataFrame:
     """(path, file_name, text) of the files under path; pattern: a regular expression that the file name must hold."""
@@ -14,9 +16,13 @@ def read_reports(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", p
 
 
 def with_serial(df: DataFrame, order: str = "path") -> DataFrame:
-    """1-based position in path order, without one window over all rows: counts of ranges are added up first."""
-    ranged = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("part_", F.spark_partition_id()).withColumn("pos_", F.monotonically_increasing_id())
-    counts = ranged.groupBy("part_").agg(F.count("*").alias("n"), F.min("pos_").alias("low_")).orderBy("part_").collect()
+    """1-based position in path order, without one window over all rows: counts of ranges are added up first.
+
+    The ranges are written once and read twice, for the counts and for the rows, as bounds sampled anew would give other ranges.
+    """
+    ranged = df.repartitionByRange(F.col(order)).sortWithinPartitions(order)
+    ranged = materialise(ranged.withColumn("part_", F.spark_partition_id()).withColumn("pos_", F.monotonically_increasing_id()), "ranges")
+    counts = ranged.groupBy("part_").agg(F.count("*").alias("n"), F.min("pos_").alias("low_")).orderBy("part_").collect()  # one row for each range
     offsets, total = [], 0
     for r in counts:
         offsets.append((r.part_, r.low_, total))
