@@ -16,7 +16,7 @@ def part_309(docs: DataFrame, key: str = "doc_id", text: str = "text", before: i
     Only texts in which the two words stand together are cut into words.
     """
     near = F.col(text).rlike(pyre(r"part\s+309", True, match=False))
-    words = F.transform(F.regexp_extract_all(F.col(text), F.lit(r"([\p{L}\p{N}_']+|[^\p{L}\p{N}_\s])"), F.lit(1)), F.upper)
+    words = F.transform(F.regexp_extract_all(F.col(text), F.lit(pyre(r"([\w']+|[^\w\s])", match=False)), F.lit(1)), F.upper)
     cut = docs.where(near).select(key, F.explode(F.array(words)).alias("w"))  # a generator, as filters would copy the words into every use
     pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i)))
     at = F.array_position(pairs, "PART 309").cast("int")

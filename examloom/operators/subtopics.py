@@ -1,11 +1,14 @@
-"""Sub-topics inside a topic: headings, the texts under them, and their normal form."""
+"""Sub-topics inside a topic: headings, the texts under them, their normal form and their classes."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from examloom.functions.pyre import is_lower, is_title, is_upper, pyre, strip
+from examloom.functions.arrays import present
+from examloom.functions.pyre import is_lower, is_title, is_upper, let, pyre, strip
 from examloom.operators.topics import spans
 from examloom.sources.text import line_array
 
@@ -20,15 +23,21 @@ def _capital(w: Column) -> Column:
 
 def is_subtopic(line: Column) -> Column:
     """A short line of capitalised words, without a closing point or wide gaps, numbering aside."""
-    s = strip(line)
-    words = F.split(s, pyre(r"\s+|\s*[/\-,]\s*", match=False))
-    gaps = F.size(F.split(s, pyre(r"\s{1,5}|\s{0,5}[/\-]\s{0,5}", match=False)))
-    rest = F.when(F.get(words, F.lit(0)).rlike(r"^[0-9]+[.)\-]"), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))).otherwise(words)
-    some = F.filter(rest, lambda w: w != "")
     number = lambda w: w.rlike(r"^[0-9][0-9.,]*$")
-    fine = F.forall(some, lambda w: _capital(w) | F.lower(w).isin(*FREE_WORDS) | number(w) | ~w.rlike(r"[\p{L}\p{N}]"))
-    ok = ~line.rlike(pyre(r"\s+.*$")) & (s != "") & ~s.rlike(r'[."]$') & (gaps <= F.size(words)) & (F.size(words) <= 10)
-    return F.coalesce(ok & F.coalesce(_capital(F.get(rest, F.lit(0))), F.lit(False)) & fine & ~F.forall(some, number), F.lit(False))
+    gaps = lambda s: F.size(F.split(s, pyre(r"\s{1,5}|\s{0,5}[/\-]\s{0,5}", match=False)))
+
+    def fine(rest: Column) -> Column:
+        some = F.filter(rest, lambda w: w != "")
+        every = F.forall(some, lambda w: _capital(w) | F.lower(w).isin(*FREE_WORDS) | number(w) | ~w.rlike(r"[\p{L}\p{N}]"))
+        return F.coalesce(let(F.get(rest, F.lit(0)), _capital), F.lit(False)) & every & ~F.forall(some, number)
+
+    def worded(s: Column) -> Column:
+        words = F.split(s, pyre(r"\s+|\s*[/\-,]\s*", match=False))
+        rest = lambda w: F.when(F.get(w, F.lit(0)).rlike(r"^[0-9]+[.)\-]"), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0)))).otherwise(w)
+        ok = lambda w: F.when((gaps(s) <= F.size(w)) & (F.size(w) <= 10), let(rest(w), fine)).otherwise(False)
+        return F.when((s != "") & ~s.rlike(r'[."]$'), let(words, ok)).otherwise(False)
+
+    return F.coalesce(F.when(~line.rlike(pyre(r"\s+.*$")), let(strip(line), worded)).otherwise(False), F.lit(False))
 
 
 def normal_form(text: Column) -> Column:
@@ -38,21 +47,51 @@ def normal_form(text: Column) -> Column:
     return F.array_join(F.filter(F.transform(kept, lambda w: F.regexp_replace(F.lower(w), "[^a-z0]", "")), lambda w: w != ""), " ")
 
 
-def subtopics(docs: DataFrame, hits: DataFrame, topic: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def blocks(lines: Column) -> Column:
+    """array of struct(pos, heading, body): the lines under each heading, and those before the first as "Initial".
+
+    Headings without a line are dropped; of a repeated heading the first place and the last lines stay.
+    """
+
+    def cut(at: Column) -> Column:
+        starts = F.concat(F.array(F.lit(-1)), at)
+        parts = F.transform(starts, lambda h, j: F.struct(j.alias("pos"), F.when(h < 0, START).otherwise(F.get(lines, h)).alias("heading"), F.slice(lines, h + 2, F.greatest(F.coalesce(F.get(at, j), F.size(lines)) - h - 1, F.lit(0))).alias("body")))
+        return let(F.filter(parts, lambda p: F.size(p["body"]) > 0), once)
+
+    def once(parts: Column) -> Column:
+        ordered = F.array_sort(F.transform(parts, lambda p, i: F.struct(p["heading"].alias("heading"), i.alias("i"))))
+        ends = lambda o, step: present(F.transform(o, lambda x, j: F.when(~x["heading"].eqNullSafe(F.get(o, j + step)["heading"]), x["i"])))
+        places = let(ordered, lambda o: F.zip_with(ends(o, -1), ends(o, 1), lambda x, y: F.struct(F.get(parts, x)["pos"].alias("pos"), F.get(parts, y)["heading"].alias("heading"), F.array_join(F.get(parts, y)["body"], "\n").alias("body"))))
+        return F.array_sort(places)
+
+    return let(present(F.transform(lines, lambda x, i: F.when(is_subtopic(x), i))), cut)
+
+
+def subtopics(docs: DataFrame, hits: DataFrame, topic: str, key: str = "doc_id", text: str = "text", keep_form_feeds: bool = True) -> DataFrame:
     """(key, pos, heading, body): the texts under the headings inside the only span of the topic, none without exactly one.
 
-    Headings without a text are dropped; of a repeated heading the first place and the last text stay.
+    With form feeds kept, the heading of the topic itself is no sub-topic, as it begins with white space.
+    """
+    only = spans(hits, key).where(F.col("topic") == topic).groupBy(key).agg(F.count("*").alias("n_"), F.min("line_idx").alias("from_"), F.min("end_idx").alias("to_")).where("n_ = 1")
+    arr = docs.select(key, line_array(F.col(text), keep_form_feeds).alias("lines"))
+    cut = F.slice("lines", F.col("from_") + 1, F.greatest(F.coalesce("to_", F.size("lines")) - F.col("from_"), F.lit(0)))
+    return only.join(arr, key).select(key, F.inline(let(cut, blocks)))
+
+
+def resolve_subtopics(names: DataFrame, label_map: DataFrame, guess: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(name) → (name, class, score, kind): by the normal form in the map, by a class of that name, by a guess from the normal form.
+
+    label_map: (ord, text, topic) with normal forms as text; of equal ones the last counts. Each name once; a name without words has no class.
     """
-    only = spans(hits, key).withColumn("n", F.count(F.when(F.col("topic") == topic, 1)).over(Window.partitionBy(key))).where((F.col("topic") == topic) & (F.col("n") == 1))
-    arr = docs.select(key, line_array(F.col(text)).alias("lines"))
-    rows = only.join(arr, key).select(key, F.posexplode(F.slice("lines", F.col("line_idx") + 1, F.greatest(F.coalesce("end_idx", F.size("lines")) - F.col("line_idx"), F.lit(0)))).alias("line_no", "line"))
-    rows = rows.withColumn("head", is_subtopic(F.col("line")))
-    rows = rows.withColumn("block", F.sum(F.col("head").cast("int")).over(Window.partitionBy(key).orderBy("line_no")))
-    blocks = rows.groupBy(key, "block").agg(
-        F.max(F.when(F.col("head"), F.col("line"))).alias("heading"), F.array_sort(F.collect_list(F.when(~F.col("head"), F.struct("line_no", "line")))).alias("body")
-    ).where(F.size("body") > 0)
-    blocks = blocks.select(key, "block", F.coalesce("heading", F.lit(START)).alias("heading"), F.array_join(F.transform("body", lambda x: x["line"]), "\n").alias("body"))
-    return blocks.groupBy(key, "heading").agg(F.min("block").alias("pos"), F.max_by("body", "block").alias("body"))
+    names = names.select("name").where("name IS NOT NULL").distinct().withColumn("form", normal_form(F.col("name")))
+    exact = label_map.where("topic > ''").groupBy(F.col("text").alias("form")).agg(F.max_by("topic", "ord").alias("exact"))
+    classes = label_map.where("topic > ''").select(F.col("topic").alias("form"), F.col("topic").alias("class_")).distinct()
+    known = names.join(exact, "form", "left").join(classes, "form", "left").select("name", "form", F.coalesce("exact", "class_").alias("class"))
+    kind = F.when(F.col("class").isNotNull(), "actual").otherwise("guess")
+    if guess is None:
+        return known.select("name", "class", F.when(F.col("class").isNotNull(), 1.0).otherwise(0.0).alias("score"), kind.alias("kind"))
+    guessed = guess(known.where("class IS NULL AND form <> ''").select(F.col("form").alias("name"))).select(F.col("name").alias("form"), F.col("topic").alias("g"), F.col("score").alias("s"))
+    return known.join(guessed, "form", "left").select("name", F.coalesce("class", "g").alias("class"), F.when(F.col("class").isNotNull(), 1.0).otherwise(F.coalesce("s", F.lit(0.0))).alias("score"), kind.alias("kind"))
 
 
 def subtopic_summary(found: DataFrame) -> DataFrame:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,28 +110,21 @@ def topic_texts(docs: DataFrame, hits: DataFrame, key: str = "doc_id", text: str
     return last.join(arr, key).select(key, "topic", cut.alias("lines")).withColumn("topic_text", F.array_join("lines", newline))
 
 
-def pack(lines: list[str], newline: str = "\r\n", limit: int = LIMIT) -> list[str]:
+def packed(lines: Column, newline: str = "\r\n", limit: int = LIMIT) -> Column:
     """Lines packed greedily into pieces of at most limit characters, line ends counted; a longer line stands alone."""
-    pieces, current, size = [], [], 0
-    for line in lines:
-        if current and size + len(newline) + len(line) > limit:
-            pieces.append(newline.join(current))
-            current, size = [], 0
-        size += len(line) + (len(newline) if current else 0)
-        current.append(line)
-    return [*pieces, newline.join(current)] if current else pieces
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("size"), F.array(F.lit(0)).alias("cuts"))
+
+    def add(acc: Column, x: Column) -> Column:
+        full = (acc["i"] > 0) & (acc["size"] + len(newline) + F.length(x) > limit)
+        size = F.when(full | (acc["i"] == 0), F.length(x)).otherwise(acc["size"] + len(newline) + F.length(x))
+        return F.struct((acc["i"] + 1).alias("i"), size.alias("size"), F.when(full, F.array_append(acc["cuts"], acc["i"])).otherwise(acc["cuts"]).alias("cuts"))
+
+    def pieces(cuts: Column) -> Column:
+        return F.transform(cuts, lambda c, k: F.array_join(F.slice(lines, c + 1, F.coalesce(F.get(cuts, k + 1), F.size(lines)) - c), newline))
+
+    return F.when(F.size(lines) == 0, F.array().cast("array<string>")).otherwise(let(F.aggregate(lines, start, add)["cuts"], pieces))
 
 
 def split_cells(texts: DataFrame, key: str = "doc_id", newline: str = "\r\n", limit: int = LIMIT) -> DataFrame:
-    """(key, topic, piece_no, piece). Cells within the limit don't leave the JVM."""
-    size = F.aggregate("lines", F.lit(0), lambda a, x: a + F.length(x) + len(newline))
-    kind = texts.schema[key].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = [(k, t, i + 1, p) for k, t, ls in zip(pdf["k"], pdf["topic"], pdf["lines"]) for i, p in enumerate(pack(list(ls), newline, limit))]
-            yield pd.DataFrame(out, columns=[key, "topic", "piece_no", "piece"])
-
-    short = texts.where(size <= limit).select(key, "topic", F.lit(1).alias("piece_no"), F.array_join("lines", newline).alias("piece"))
-    long = texts.where(size > limit).select(F.col(key).alias("k"), "topic", "lines").mapInPandas(run, f"{key} {kind}, topic string, piece_no int, piece string")
-    return short.unionByName(long)
+    """(key, topic, piece_no, piece)."""
+    return texts.select(key, "topic", F.posexplode(packed(F.col("lines"), newline, limit)).alias("n_", "piece")).select(key, "topic", (F.col("n_") + 1).alias("piece_no"), "piece")

@@ -1,13 +1,22 @@
-"""The final table: one wide row per report."""
+"""The final table: one wide row per report.
+
+Reports are read twice: once for what is small (header, ratings, headings, contents), which is written, and once for the texts of
+the topics. Only small rows are shuffled in between; the texts meet their topics in one join by document.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from examloom.operators import header, ratings, topics
-from examloom.operators.toc import toc_entries, toc_summary
-from examloom.sources.text import with_serial
+from examloom.functions.pyre import let
+from examloom.operators import header, ratings, subtopics, topics
+from examloom.operators.toc import contents, has_contents, toc_entries, toc_summary
+from examloom.session import materialise
+from examloom.sources.text import line_array, with_serial
 
 
 def column(name: str) -> str:
@@ -15,29 +24,97 @@ def column(name: str) -> str:
 
 
 def topic_hits(docs: DataFrame, label_map: DataFrame, guess=None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """guess: (name) → (name, topic, score) for headings outside the map, admitted where a document has no contents."""
     heads = topics.headings(docs, key, text)
     names = heads.select(topics.strip(F.col("heading")).alias("name"))
     counts = toc_summary(docs, toc_entries(docs, key, text), key) if guess else None
     return topics.topic_hits(heads, topics.resolve_topics(names, label_map, guess), counts, key)
 
 
+@dataclass
+class SubtopicColumns:
+    """Sub-topics of one topic: its cells are replaced by one for each class. label_map: (ord, text, topic) of normal forms."""
+
+    topic: str
+    label_map: DataFrame
+    classes: list[str]
+    guess: Callable[[DataFrame], DataFrame] | None = None
+
+
+def extracted(docs: DataFrame, key: str, text: str, counted: bool) -> DataFrame:
+    """(key, file_name, 13 header columns, table, spoken, heads, toc_count): all that is small in a report, by one scan without a shuffle."""
+    lines = lambda t, f: let(line_array(t), f)
+    t = F.col(text)
+    # texts without what every contents or table holds aren't cut into lines for it
+    table = F.when(ratings.has_table(t), lines(t, ratings.table_rows))
+    found = F.when(has_contents(t), lines(t, contents)) if counted else F.lit(None).cast("array<int>")
+    df = docs.select(
+        key, "file_name", header.fields(F.when(t.rlike(header.ANY), t).otherwise("")).alias("header_"), table.alias("table"), lines(t, ratings.named_values).alias("spoken"),
+        F.when(F.contains(t, F.lit("\f")), topics.heads(t)).alias("heads"), F.greatest(F.size(found), F.lit(0)).alias("toc_count"),
+    )
+    return df.select(key, "file_name", "header_.*", "table", "spoken", "heads", "toc_count")
+
+
+def _cells(lines: Column, spans: Column, topic: str, pieces: Column | None) -> Column:
+    """The text of the last span of a topic, or its pieces."""
+    cut = lambda s: F.slice(lines, s["line_idx"] + 1, F.greatest(F.coalesce(s["end_idx"], F.size(lines)) - s["line_idx"], F.lit(0)))
+    last = F.try_element_at(F.filter(spans, lambda s: s["topic"] == topic), F.lit(-1))
+    return F.when(last.isNotNull(), F.array_join(cut(last), "\r\n")) if pieces is None else F.when(last.isNotNull(), cut(last))
+
+
 def final_table(
-    docs: DataFrame, label_map: DataFrame, ratings_map: DataFrame, topic_names: list[str], rating_names: list[str], guess=None, split: int = 0, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
+    docs: DataFrame, label_map: DataFrame, ratings_map: DataFrame, topic_names: list[str], rating_names: list[str], guess=None, split: int = 0, key: str = "doc_id", text: str = "text",
+    within: SubtopicColumns | None = None,
+) -> DataFrame:
     """serial_no, file_name, 13 header columns, five columns per rating, `split` columns (0: one with the whole text) per topic and for Confidential.
 
-    docs: (key, file_name, text). The names are fixed beforehand, so the columns are known before any data is read. Texts with
-    more pieces than `split` keep the first ones here; topics.split_cells() has all of them.
+    docs: (key, file_name, text). The names are fixed beforehand, so the columns are known before any data is read. Where a text has
+    more pieces than `split`, the last column holds all the rest, so no text is lost. `within` puts columns of sub-topics, JSON
+    objects of heading and text, in the place of one topic; a report without the topic, or with several of it, has nulls there.
     """
-    serial = with_serial(docs.select(key, "file_name"), key)
-    fields = header.header_fields(docs, key, text)
-    table = ratings.map_ratings(ratings.rating_tables(docs, key, text), ratings_map, key)
-    wide = ratings.rating_columns(docs, table, ratings.text_ratings(docs, ratings_map, key, text), rating_names, key)
-    texts = topics.topic_texts(docs, topic_hits(docs, label_map, guess, key, text), key, text)
-    cells = topics.split_cells(texts, key) if split else texts.select(key, "topic", F.lit(1).alias("piece_no"), F.col("topic_text").alias("piece"))
+    found = materialise(extracted(docs, key, text, guess is not None), "extracted")
     names = [*dict.fromkeys([*topic_names, "Confidential"])]
-    cols = [(n, i, column(n) + (f"_{i}" if split > 1 else "")) for n in names for i in range(1, max(split, 1) + 1)]
-    pivot = cells.groupBy(key).agg(*[F.first(F.when((F.col("topic") == n) & (F.col("piece_no") == i), F.col("piece")), True).alias(c) for n, i, c in cols])
-    out = serial.join(fields, key, "left").join(wide, key, "left").join(pivot, key, "left")
-    order = ["serial_no", "file_name", *[c for c in fields.columns if c != key], *[c for c in wide.columns if c != key], *[c for _, _, c in cols]]
-    return out.select(*order)
+    heads = found.select(key, F.inline("heads"))
+    resolved = topics.resolve_topics(heads.select(topics.strip(F.col("heading")).alias("name")), label_map, guess)
+    hits = topics.topic_hits(heads, resolved, found.select(key, "toc_count") if guess else None, key)
+    places = topics.spans(hits, key).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("line_idx", "end_idx", "topic"))).alias("spans_"))
+    table = ratings.map_ratings(found.select(key, F.inline("table")), ratings_map, key)
+    spoken = ratings.map_values(found.select(key, F.inline("spoken")), ratings_map, key)
+    wide = ratings.rating_columns(found, table, spoken, rating_names, key)
+    fixed = [c for c in found.columns if c not in (key, "file_name", "table", "spoken", "heads", "toc_count")]
+    small = with_serial(found.select(key, "file_name", *fixed), key).join(wide, key, "left").join(places, key, "left")
+    if within:
+        small = small.join(_within(docs, hits, within, key, text), key, "left")
+    rows = small.join(docs.select(key, F.col(text).alias("text_")), key, "left")  # the one join of texts
+    cut = names if within is None else [n for n in names if n != within.topic]
+    if split:
+        packed = F.struct(*[_pieces(F.col("lines_"), n, split).alias(f"t{i}") for i, n in enumerate(cut)])
+    else:
+        packed = let(line_array(F.col("text_"), False), lambda ls: F.struct(*[_cells(ls, F.col("spans_"), n, None).alias(f"t{i}") for i, n in enumerate(cut)]))
+    if split:
+        rows = rows.withColumn("lines_", line_array(F.col("text_"), False))
+    rows = rows.withColumn("cells_", F.when(F.col("spans_").isNotNull(), packed))
+    out = []
+    for n in names:
+        if within and n == within.topic:
+            out += [F.col(f"s{i}_").alias(column(f"{n}_{c}")) for i, c in enumerate(within.classes)]
+            continue
+        cell = F.col("cells_")[f"t{cut.index(n)}"]
+        out += [F.get(cell, F.lit(i)).alias(column(n) + (f"_{i + 1}" if split > 1 else "")) for i in range(split)] if split else [cell.alias(column(n))]
+    return rows.select("serial_no", "file_name", *fixed, *[c for c in wide.columns if c != key], *out)
+
+
+def _pieces(lines: Column, topic: str, split: int) -> Column:
+    """The text of a topic in at most `split` pieces; the last holds the rest."""
+    packed = lambda ls: topics.packed(ls, "\r\n")
+    some = let(_cells(lines, F.col("spans_"), topic, F.lit(True)), packed)
+    rest = lambda p: F.when(F.size(p) <= split, p).otherwise(F.concat(F.slice(p, 1, split - 1), F.array(F.array_join(F.slice(p, split, F.size(p)), "\r\n"))))
+    return let(some, rest)
+
+
+def _within(docs: DataFrame, hits: DataFrame, within: SubtopicColumns, key: str, text: str) -> DataFrame:
+    """(key, s0_, s1_, …): the sub-topics of each class as JSON."""
+    parts = subtopics.subtopics(docs, hits, within.topic, key, text, keep_form_feeds=False)
+    classes = subtopics.resolve_subtopics(parts.select(F.col("heading").alias("name")), within.label_map, within.guess).select(F.col("name").alias("heading"), "class")
+    cells = subtopics.subtopic_cells(parts, classes, key)
+    return cells.groupBy(key).agg(*[F.first(F.when(F.col("class") == c, F.col("cell")), True).alias(f"s{i}_") for i, c in enumerate(within.classes)])

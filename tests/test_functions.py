@@ -77,7 +77,7 @@ def test_title_strip(spark):
     assert column(spark, ["a\xa0 \nb"], single_spaced) == ["a b"]
 
 
-def test_packing():
-    assert topics.pack(["a" * 6, "b" * 6, "c"], "\r\n", 10) == ["aaaaaa", "bbbbbb\r\nc"]
-    assert topics.pack(["x" * 20, "y"], "\r\n", 10) == ["x" * 20, "y"]
-    assert topics.pack([], "\n", 10) == [] and topics.pack(["", "a"], "\n", 10) == ["\na"]
+def test_packing(spark):
+    cases = [(["a" * 6, "b" * 6, "c"], ["aaaaaa", "bbbbbb\r\nc"]), (["x" * 20, "y"], ["x" * 20, "y"]), ([], []), (["", "a"], ["\r\na"])]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, v array<string>").select("i", topics.packed(F.col("v"), "\r\n", 10).alias("p")).orderBy("i")
+    assert [r.p for r in df.collect()] == [c[1] for c in cases]
