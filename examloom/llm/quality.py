@@ -6,7 +6,7 @@ labelled documents by incremental reduced-error pruning (each rule grown on two
 pruned on the rest, kept while it is right more often than not), and applied to all documents as one native CASE expression.
 
 Labels: `labels` of induce() may be any Boolean column; where none is given, the sample is labelled by a slower reading of
-each text, paragraph by paragraph (label()).
+each text, paragraph by paragraph (label()). The rules see none of its judgements, only plain statistics of the whole text.
 
 Defined results: null, empty and blank texts have counts of 0, shares of 0 and are no cases. Repeated rows are judged alike;
 extra columns are dropped.
@@ -15,7 +15,8 @@ extra columns are dropped.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bound of the labelled sample.
-SAMPLE = 3000
+SAMPLE = 9000
 
 _BULLET = re.compile(r"(?:[-*•·▪◦–—]|\(?\d{1,4}[.)]|\(?[A-Za-z][.)])\s+").match
 _LEADER = re.compile(r"(?:\.\s?){4}|_{4}|(?: {8}|\t)\S+$").search
@@ -38,15 +39,25 @@ _ENDS = tuple(".!?:;…\"”’")
 #: The statistics that rules may use.
 FEATURES = [
     "n_words", "n_distinct", "mean_word_length", "symbol_ratio", "digit_ratio", "punct_line_share", "mean_line_words",
-    "list_share", "table_share", "loose_share", "foreign_share", "nonprose_share", "repetition", "longest_word",
+    "list_share", "table_share", "loose_share", "repetition", "longest_word", "common_share", "same_language",
 ]
 
 
 INTS = ("n_chars", "n_words", "n_lines", "n_distinct", "longest_word")
-STATS = ["n_chars", "n_words", "n_lines", "common_share", *[f for f in FEATURES if f not in ("n_words",)]]
+STATS = ["n_chars", "n_words", "n_lines", *[f for f in FEATURES if f not in ("n_words",)]]
 
 
-def measure(text: str | None, common: frozenset[str]) -> list:
+def languages(common: Iterable[str] | Mapping[str, int]) -> dict[str, int]:
+    """Frequent words of two letters or more → a bit for each language they are frequent in; words without languages have one bit."""
+    return {w: m for w, m in (common.items() if isinstance(common, Mapping) else dict.fromkeys(common, 1).items()) if len(w) > 1}
+
+
+def _same(masks: list[int]) -> float:
+    """Share of the neighbouring frequent words that have a language in common: words in no order have few."""
+    return sum(1 for a, b in pairwise(masks) if a & b) / (len(masks) - 1) if len(masks) > 1 else 1.0
+
+
+def measure(text: str | None, common: Mapping[str, int]) -> list:
     """The statistics of one text, in the order of STATS. Words are what stands between white space."""
     if not text or text.isspace():
         return [len(text or ""), 0, 0] + [0 if f in INTS else 0.0 for f in STATS[3:]]
@@ -55,16 +66,20 @@ def measure(text: str | None, common: frozenset[str]) -> list:
     if not text.isascii():
         other = sum(not c.isalpha() for run in _FOREIGN.findall(text) for c in run)
         letters, symbols = letters - other, symbols + other
-    rows, every, is_common = [], [], common.__contains__
-    ends = 0
+    every: list[str] = []
+    masks: list[int] = []
+    ends = n_lines = total = 0
+    sums = [0, 0, 0, 0]
     for line in text.splitlines():
         s = line.strip()
         if not s:
             continue
         words = s.lower().split()
         every += words
-        w, c = len(words), sum(map(is_common, words))
-        poor, shape = c < 0.2 * w, 0
+        hits = [common[w] for w in words if w in common]
+        masks += hits
+        w, c, shape = len(words), len(hits), 0
+        poor = c < 0.2 * w
         if (poor or w < 8) and (s[0] in "-*•·▪◦–—(" or s[1:5].find(".") >= 0 or s[1:5].find(")") >= 0) and _BULLET(s):
             shape = 1
         elif (poor or w < 8) and ("_" in s or ".." in s or ". ." in s or "        " in s or "\t" in s) and _LEADER(s):
@@ -74,38 +89,22 @@ def measure(text: str | None, common: frozenset[str]) -> list:
         elif c < 0.15 * w and s.count(",") + s.count(";") + s.count("|") + s.count("~") + s.count("\t") >= 3 and _FIGURE(s):
             shape = 2
         end = s.endswith(_ENDS)
-        ends += end
-        rows.append((len(s), w, c, shape, w <= 6 and not end))
-    sums = [0, 0, 0, 0, 0]
-    last = len(rows) - 1
-    for i, (n, w, c, shape, short) in enumerate(rows):
-        if not shape:
-            near = False
-            for j in (i - 1, i + 1):
-                if 0 <= j <= last:
-                    near = near or rows[j][4]
-                    if not rows[j][3]:
-                        w, c = w + rows[j][1], c + rows[j][2]
-            if short and near and c < 0.25 * w:
-                shape = 3
-            elif c < (0.19 if w >= 20 else 0.1) * w or n > 12 * (rows[i][1] + 1):
-                shape = 4
-        sums[shape] += n
-    total, n_words, n_lines, distinct = sum(sums), len(every), len(rows), len(set(every))
-    solid = letters + digits + symbols
-    share = [round(x / total, 6) for x in sums]
-    hits = sum(r[2] for r in rows)
+        if not shape and w <= 6 and not end:
+            shape = 3
+        ends, n_lines, total = ends + end, n_lines + 1, total + len(s)
+        sums[shape] += len(s)
+    n_words, distinct, solid = len(every), len(set(every)), letters + digits + symbols
     values = {
         "n_distinct": distinct, "mean_word_length": letters / n_words, "symbol_ratio": symbols / solid if solid else 0.0, "digit_ratio": digits / solid if solid else 0.0,
-        "punct_line_share": ends / n_lines, "common_share": hits / n_words, "mean_line_words": n_words / n_lines, "list_share": share[1], "table_share": share[2],
-        "loose_share": share[3], "foreign_share": share[4], "nonprose_share": round(1 - sums[0] / total, 6), "repetition": n_words / distinct, "longest_word": max(map(len, every)),
+        "punct_line_share": ends / n_lines, "common_share": len(masks) / n_words, "same_language": _same(masks), "mean_line_words": n_words / n_lines, "list_share": sums[1] / total,
+        "table_share": sums[2] / total, "loose_share": sums[3] / total, "repetition": n_words / distinct, "longest_word": max(map(len, every)),
     }
     return [len(text), n_words, n_lines, *[values[f] if f in INTS else round(values[f], 6) for f in STATS[3:]]]
 
 
-def statistics(df: DataFrame, common: Iterable[str], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row: the key and the statistics. `common` are frequent words, lower case, of any languages."""
-    common = frozenset(w for w in common if len(w) > 1)
+def statistics(df: DataFrame, common: Iterable[str] | Mapping[str, int], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row: the key and the statistics. `common` are frequent words, lower case, with a bit for each language if these are known."""
+    common = languages(common)
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +117,7 @@ def statistics(df: DataFrame, common: Iterable[str], key: str = "doc_id", text:
     return df.select(F.col(key), F.col(text).alias("text_")).mapInArrow(run, schema)
 
 
-def label(text: str | None, common: frozenset[str]) -> bool:
+def label(text: str | None, common: Mapping[str, int]) -> bool:
     """Whether more than half of the characters are list entries, table rows or junk, by reading the text."""
     lines = [x.strip() for x in re.split(r"\r\n?|\n|\f", text or "") if x.strip()]
     words = [re.findall(r"[^\W\d_]{2,}", x.lower()) for x in lines]
@@ -138,6 +137,9 @@ def label(text: str | None, common: frozenset[str]) -> bool:
         n, c = sum(len(words[i]) for i in run), sum(hits[i] for i in run)
         size = sum(len(lines[i]) for i in run)
         ends = sum(bool(re.search(r"[.!?:;…][\"”’)]*$", lines[i])) for i in run)
+        order = [common[w] for i in run for w in words[i] if w in common]
+        if len(order) >= 6 and _same(order) < 0.56:  # words of several languages in no order
+            return size
         if n == 0 or c < (0.19 if n >= 20 else 0.1) * n or size > 12 * (n + 1):
             return size
         return size if len(run) > 3 and n / len(run) < 5 and ends < 0.1 * len(run) and c < 0.3 * n else 0
@@ -171,7 +173,7 @@ def _grow(x: np.ndarray, y: np.ndarray, names: list[str]) -> list[Condition]:
     """Conditions of the highest information gain until no negative is left."""
     rule: list[Condition] = []
     inside = np.ones(len(x), dtype=bool)
-    while len(rule) < 6:
+    while True:
         p, n = (y & inside).sum(), (~y & inside).sum()
         if p == 0 or n == 0:
             break
@@ -196,11 +198,11 @@ def _grow(x: np.ndarray, y: np.ndarray, names: list[str]) -> list[Condition]:
     return rule
 
 
-def irep(x: np.ndarray, y: np.ndarray, names: list[str], seed: int = 7, max_rules: int = 24) -> list[list[Condition]]:
+def irep(x: np.ndarray, y: np.ndarray, names: list[str], seed: int = 7) -> list[list[Condition]]:
     """Ordered rules for the positives."""
     rng, rules = np.random.default_rng(seed), []
     left = np.ones(len(x), dtype=bool)
-    while len(rules) < max_rules and (y & left).any():
+    while (y & left).any():
         found = None
         for _ in range(8):  # a rare kind of positive may need another split
             parts = [rng.permutation(np.flatnonzero(left & side)) for side in (y, ~y)]
@@ -226,19 +228,28 @@ def irep(x: np.ndarray, y: np.ndarray, names: list[str], seed: int = 7, max_rule
     return rules
 
 
-def induce(df: DataFrame, common: Iterable[str], key: str = "doc_id", text: str = "text", labels: str | None = None, sample: int = SAMPLE) -> list[list[Condition]]:
-    """Rules from a sample of at most `sample` labelled documents, those of the lowest hash of their text."""
-    common = frozenset(common)
-    full = df.where(F.col(text).rlike(r"\S")).select(F.col(text).alias("t_"), F.xxhash64(text).alias("h_"), *([F.col(labels).alias("y_")] if labels else []))
-    lowest = full.select("h_").orderBy("h_").limit(sample).agg(F.max("h_")).first()[0]  # hashes first: texts of the sample only then
-    if lowest is None:
-        return []
-    taken = full.where(F.col("h_") <= lowest).limit(sample)
-    rows = sorted((r.asDict() for r in taken.collect()), key=lambda r: (r["h_"], r["t_"]))
-    y = np.array([bool(r["y_"]) if labels else label(r["t_"], common) for r in rows])
-    words, at = frozenset(w for w in common if len(w) > 1), [STATS.index(f) for f in FEATURES]
-    stats = [measure(r["t_"], words) for r in rows]
-    return irep(np.array([[float(s[i]) for i in at] for s in stats]), y, FEATURES)
+def induce(df: DataFrame, common: Iterable[str] | Mapping[str, int], key: str = "doc_id", text: str = "text", labels: str | None = None, sample: int = SAMPLE) -> list[list[Condition]]:
+    """Rules from a sample of at most `sample` labelled documents, those of the lowest hash of their text, each text once.
+
+    The sample is measured and labelled on the workers; only its numbers come to the driver.
+    """
+    masks = languages(common)
+    n = max(df.count(), 1)
+    cut = int(min(2.0**63 - 1025, -(2.0**63) + 2.0**64 * 2 * sample / n))  # twice the sample, as texts repeat
+    full = df.select(F.col(text).alias("t_"), F.xxhash64(text).alias("h_"), (F.col(labels) if labels else F.lit(None)).cast("boolean").alias("y_"))
+    taken = full.where((F.col("h_") <= cut) & F.col("t_").rlike(r"\S")).dropDuplicates(["h_"]).orderBy("h_").limit(sample)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, given = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            y = [bool(g) for g in given] if labels else [label(t, masks) for t in texts]
+            stats = [[float(v) for v in measure(t, masks)] for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(y, pa.bool_()), pa.array(stats, pa.list_(pa.float64()))], ["h", "y", "x"])
+
+    parts = -(-sample // 1000)
+    rows = sorted(taken.repartition(parts, "h_").mapInArrow(run, "h long, y boolean, x array<double>").collect())
+    at = [STATS.index(f) for f in FEATURES]
+    return irep(np.array([[r.x[i] for i in at] for r in rows]), np.array([r.y for r in rows]), FEATURES) if rows else []
 
 
 def case_sql(rules: list[list[Condition]]) -> str:
@@ -247,8 +258,7 @@ def case_sql(rules: list[list[Condition]]) -> str:
     return f"CASE WHEN n_words + n_lines = 0 THEN false {whens} ELSE false END"
 
 
-def judge(df: DataFrame, common: Iterable[str], rules: list[list[Condition]] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+def judge(df: DataFrame, common: Iterable[str] | Mapping[str, int], rules: list[list[Condition]] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The statistics and `no_prose`: more than half list entries, table rows or junk."""
-    common = list(common)
     rules = induce(df, common, key, text) if rules is None else rules
     return statistics(df, common, key, text).withColumn("no_prose", F.expr(case_sql(rules)))

@@ -73,9 +73,14 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(_heavy(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
-def _common(spark: SparkSession, sf_dir: str) -> list[str]:
-    """The frequent words: a fixed list."""
-    return sorted({r.word for r in table(spark, sf_dir, "common_words").select("word").distinct().collect() if r.word})
+def _common(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """The frequent words, a fixed list, with a bit for each language."""
+    rows = sorted((r.lang or "", r.word) for r in table(spark, sf_dir, "common_words").distinct().collect() if r.word)
+    bits = {lang: 1 << i for i, lang in enumerate(dict.fromkeys(lang for lang, _ in rows))}
+    out: dict[str, int] = {}
+    for lang, word in rows:
+        out[word] = out.get(word, 0) | bits[lang]
+    return out
 
 
 def p9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
