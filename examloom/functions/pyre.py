@@ -67,3 +67,8 @@ def is_title(c: Column) -> Column:
 def let(value: Column, f) -> Column:
     """f(value) with the value computed once, however often f uses it."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def literal(text: str) -> str:
+    """A string in SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

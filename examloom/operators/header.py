@@ -66,16 +66,12 @@ def candidates(lines: Column) -> Column:
 
 
 def best(cands: Column) -> Column:
-    """struct of one value for each field: the first wording by rank, then by quality, then by line; of dates the first that is one."""
-
-    def one(c: Column, field: str) -> Column:
-        own = F.filter(c, lambda x: x["field"] == field)
-        order = F.array_sort(F.transform(own, lambda x: F.struct(x["rank"].alias("rank"), (-x["quality"]).alias("q"), x["line_no"].alias("line_no"), x["value"].alias("value"))))
-        if field in DATES:
-            order = F.filter(order, lambda x: parse_date(x["value"]).isNotNull())
-        return F.get(order, F.lit(0))["value"].alias(field)
-
-    return let(cands, lambda c: F.struct(*[one(c, f) for f in FIELDS]))
+    """struct of one value, or date, for each field: the first wording by rank, then by quality, then by line; of dates the first that is one."""
+    dates = lambda v: F.transform(F.array(v, _cut_date(v)), parse_date)
+    order = F.transform(cands, lambda x: F.struct(x["rank"].alias("rank"), (-x["quality"]).alias("q"), x["line_no"].alias("line_no"), x["value"].alias("value"), x["field"].alias("field"), F.when(x["field"].isin(*DATES), dates(x["value"])).alias("dates")))
+    valid = F.filter(order, lambda x: x["dates"].isNull() | F.get(x["dates"], F.lit(0)).isNotNull())
+    one = lambda c, field: F.get(F.filter(c, lambda x: x["field"] == field), F.lit(0))
+    return let(F.array_sort(valid), lambda c: F.struct(*[(F.get(one(c, f)["dates"], F.lit(1)) if f in DATES else one(c, f)["value"]).alias(f) for f in FIELDS]))
 
 
 def _cut_date(value: Column) -> Column:
@@ -150,9 +146,7 @@ def fields(text: Column) -> Column:
         b, f = r["b"], r["f"]
         filled = lambda x, y: or_empty(F.coalesce(F.nullif(x, F.lit("")), y))
         region = F.get(F.split(punct(or_empty(b["region"])), pyre(r"\s{5,}", match=False)), F.lit(0))
-        start = parse_date(_cut_date(F.coalesce(F.nullif(f["exam_start_date"], F.lit("")), f["exam_date"])))
-        as_of = parse_date(_cut_date(f["exam_as_of_date"]))
-        parts = F.struct(parse_name(examiner_name(or_empty(f["examiner_in_charge"]))).alias("name"), start.alias("start"), as_of.alias("as_of"))
+        parts = F.struct(parse_name(examiner_name(or_empty(f["examiner_in_charge"]))).alias("name"), F.coalesce(f["exam_start_date"], f["exam_date"]).alias("start"), f["exam_as_of_date"].alias("as_of"))
 
         def named(p: Column) -> Column:
             name, start, as_of = p["name"], p["start"], p["as_of"]

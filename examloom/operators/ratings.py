@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from examloom.functions.arrays import first_where, tail
-from examloom.functions.pyre import let, pyre, single_spaced, strip, title
+from examloom.functions.pyre import let, literal, pyre, single_spaced, strip, title
 from examloom.sources.text import line_array
 
 # The head of a table, its lines, and a rating in running text.
@@ -111,9 +111,8 @@ def rating_columns(docs: DataFrame, mapped: DataFrame, in_text: DataFrame, names
     both = mapped.join(in_text.withColumnRenamed("value", "text_value"), [key, "canonical"], "full")
     both = both.withColumn("combined", F.coalesce(F.nullif("text_value", F.lit("")), F.col("current")))
     cols = {"current": "combined", "from_headers_current": "text_value", "from_table_current": "current", "prior": "prior", "prior_prior": "prior_prior"}
-    wide = both.groupBy(key).agg(*[F.first(F.when(F.col("canonical") == n, F.col(c)), True).alias(f"{n} {p}".replace(" ", "_")) for n in names for p, c in cols.items()])
-    out = docs.select(key).join(wide, key, "left")
-    return out.fillna("", [c for c in out.columns if c != key])
+    by_name = both.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("canonical", F.struct(*cols.values())))).alias("m_"))
+    return docs.select(key).join(by_name, key, "left").selectExpr(f"`{key}`", *[f"coalesce(m_[{literal(n)}].{c}, '') AS `{f'{n} {p}'.replace(' ', '_')}`" for n in names for p, c in cols.items()])
 
 
 def component_ratings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

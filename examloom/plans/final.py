@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from examloom.functions.pyre import let
+from examloom.functions.pyre import let, literal
 from examloom.operators import header, ratings, subtopics, topics
 from examloom.operators.toc import contents, has_contents, toc_entries, toc_summary
 from examloom.session import materialise
@@ -55,13 +55,6 @@ def extracted(docs: DataFrame, key: str, text: str, counted: bool) -> DataFrame:
     return df.select(key, "file_name", "header_.*", "table", "spoken", "heads", "toc_count")
 
 
-def _cells(lines: Column, spans: Column, topic: str, pieces: Column | None) -> Column:
-    """The text of the last span of a topic, or its pieces."""
-    cut = lambda s: F.slice(lines, s["line_idx"] + 1, F.greatest(F.coalesce(s["end_idx"], F.size(lines)) - s["line_idx"], F.lit(0)))
-    last = F.try_element_at(F.filter(spans, lambda s: s["topic"] == topic), F.lit(-1))
-    return F.when(last.isNotNull(), F.array_join(cut(last), "\r\n")) if pieces is None else F.when(last.isNotNull(), cut(last))
-
-
 def final_table(
     docs: DataFrame, label_map: DataFrame, ratings_map: DataFrame, topic_names: list[str], rating_names: list[str], guess=None, split: int = 0, key: str = "doc_id", text: str = "text",
     within: SubtopicColumns | None = None,
@@ -77,7 +70,8 @@ def final_table(
     heads = found.select(key, F.inline("heads"))
     resolved = topics.resolve_topics(heads.select(topics.strip(F.col("heading")).alias("name")), label_map, guess)
     hits = topics.topic_hits(heads, resolved, found.select(key, "toc_count") if guess else None, key)
-    places = topics.spans(hits, key).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("line_idx", "end_idx", "topic"))).alias("spans_"))
+    last = topics.spans(hits, key).groupBy(key, "topic").agg(F.max_by(F.struct("line_idx", "end_idx"), "line_idx").alias("s"))  # of a topic's several spans the last
+    places = last.groupBy(key).agg(F.collect_list(F.struct("topic", "s.line_idx", "s.end_idx")).alias("spans_"))
     table = ratings.map_ratings(found.select(key, F.inline("table")), ratings_map, key)
     spoken = ratings.map_values(found.select(key, F.inline("spoken")), ratings_map, key)
     wide = ratings.rating_columns(found, table, spoken, rating_names, key)
@@ -86,30 +80,29 @@ def final_table(
     if within:
         small = small.join(_within(docs, hits, within, key, text), key, "left")
     rows = small.join(docs.select(key, F.col(text).alias("text_")), key, "left")  # the one join of texts
-    cut = names if within is None else [n for n in names if n != within.topic]
-    if split:
-        packed = F.struct(*[_pieces(F.col("lines_"), n, split).alias(f"t{i}") for i, n in enumerate(cut)])
-    else:
-        packed = let(line_array(F.col("text_"), False), lambda ls: F.struct(*[_cells(ls, F.col("spans_"), n, None).alias(f"t{i}") for i, n in enumerate(cut)]))
-    if split:
-        rows = rows.withColumn("lines_", line_array(F.col("text_"), False))
-    rows = rows.withColumn("cells_", F.when(F.col("spans_").isNotNull(), packed))
+    rows = rows.withColumn("cells_", F.when(F.col("spans_").isNotNull(), let(line_array(F.col("text_"), False), lambda ls: _cells(ls, F.col("spans_"), split))))
     out = []
     for n in names:
+        cell = f"cells_[{literal(n)}]"
         if within and n == within.topic:
-            out += [F.col(f"s{i}_").alias(column(f"{n}_{c}")) for i, c in enumerate(within.classes)]
-            continue
-        cell = F.col("cells_")[f"t{cut.index(n)}"]
-        out += [F.get(cell, F.lit(i)).alias(column(n) + (f"_{i + 1}" if split > 1 else "")) for i in range(split)] if split else [cell.alias(column(n))]
-    return rows.select("serial_no", "file_name", *fixed, *[c for c in wide.columns if c != key], *out)
-
-
-def _pieces(lines: Column, topic: str, split: int) -> Column:
-    """The text of a topic in at most `split` pieces; the last holds the rest."""
-    packed = lambda ls: topics.packed(ls, "\r\n")
-    some = let(_cells(lines, F.col("spans_"), topic, F.lit(True)), packed)
-    rest = lambda p: F.when(F.size(p) <= split, p).otherwise(F.concat(F.slice(p, 1, split - 1), F.array(F.array_join(F.slice(p, split, F.size(p)), "\r\n"))))
-    return let(some, rest)
+            out += [f"s{i}_ AS `{column(f'{n}_{c}')}`" for i, c in enumerate(within.classes)]
+        else:
+            out += [f"get({cell}, {i}) AS `{column(n) + (f'_{i + 1}' if split > 1 else '')}`" for i in range(max(split, 1))]
+    return rows.selectExpr("serial_no", "file_name", *fixed, *[f"`{c}`" for c in wide.columns if c != key], *out)
+
+
+def _cells(lines: Column, spans: Column, split: int) -> Column:
+    """map(topic, pieces): the whole text, or at most `split` pieces of which the last holds the rest."""
+    newline = "\r\n"
+
+    def parts(ls: Column) -> Column:
+        if not split:
+            return F.array(F.array_join(ls, newline))
+        rest = lambda p: F.when(F.size(p) <= split, p).otherwise(F.concat(F.slice(p, 1, split - 1), F.array(F.array_join(F.slice(p, split, F.size(p)), newline))))
+        return let(topics.packed(ls, newline), rest)
+
+    cut = lambda s: F.slice(lines, s["line_idx"] + 1, F.greatest(F.coalesce(s["end_idx"], F.size(lines)) - s["line_idx"], F.lit(0)))
+    return F.map_from_entries(F.transform(spans, lambda s: F.struct(s["topic"], let(cut(s), parts))))
 
 
 def _within(docs: DataFrame, hits: DataFrame, within: SubtopicColumns, key: str, text: str) -> DataFrame:
