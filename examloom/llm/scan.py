@@ -1,11 +1,17 @@
 """Noise of scanned pages: found and repaired into continuous paragraphs.
 
-A noisy channel: the probability that a character was misread (`CONFUSIONS`) times the
-likelihood of the words (unigrams and bigrams of the corpus, counted exactly). Every line with a doubtful word is
+A noisy channel: the probability that a character was misread (first guesses in `CONFUSIONS`, re-estimated from the corpus) times
+the likelihood of the words (unigrams and bigrams of the corpus, counted exactly). Every line with a doubtful word is
 decoded by Viterbi over the candidate words of each place; a word is misread where the best path differs from what
-stands there. Words broken at a line end or by a space are joined if the corpus knows the whole better than the parts; a compound
+stands there. Figures with letters in them are decoded the same way. Words broken at a line end or by a space are joined if the corpus knows the whole better than the parts; a compound
 wrapped at its own hyphen stays. Running headers, page numbers and spaced-out words are told by their form and place.
 
+Probabilities are estimated by expectation and maximisation over the distinct words: what share of each word's occurrences came from
+which printed word by which confusions, against how often the printed characters stand in the corpus; the first guesses keep half
+the weight. All limits are shares of the
+corpus or ratios of counts, so a larger corpus of the same kind gives the same answers; words longer than any known one are no
+misreading of one.
+
 Slips of typing have no path through the channel, so they stay. Wrong encoding alone doesn't count.
 
 Counts are taken over all rows, by keys of 64 bits that are kept, so no word answers for another. Sent to the workers are the words
@@ -43,10 +49,12 @@ CONFUSIONS = [
 ]
 EDGES = ".,;:()[]{}\"'“”‘’…•–—?*<>/\\&#%"
 ODD = re.compile(r"[a-z][0-9|!@$][a-z]|^[0-9|!@][a-z]{2,}|[a-z]{2,}[0-9|@]$|[a-z][|!@]")
-FIGURES = re.compile(r"(?<![A-Za-z])(?:\d+[OlI][OlI\d]*|[OlI]+\d[OlI\d]*)(?![A-Za-z])")
+FIGURES = re.compile(r"[$(]?(?:[\d.,/-]*\d[.,/-]?[OlI]|[OlI]+[.,/-]?\d)[OlI\d.,/-]*%?")
+LOW_FIGURES = re.compile(FIGURES.pattern.replace("OlI", "oli"))
+DIGITS = str.maketrans("OlI", "011")
 SOFT = re.compile("[A-Za-z][¬\xad]\\s*[A-Za-z]")
 WRAPPED = re.compile(r"(?<=[^\W\d_])-(?:[ \t]*\r?\n[ \t]*| )(?=[^\W\d_])")
-HEAD, TAIL = re.compile(r"[^\W\d_]+"), re.compile(r"[^\W\d_]+$")
+HEAD = re.compile(r"[^\W\d_]+")
 SPACED = re.compile(r"(?<![^\s_])[A-Za-z](?: [A-Za-z]){3,}(?![^\s_.,;:])")
 NUMBER = r"(?:[\[(]?[-–]?\s*(?:[0-9OIl]{1,4}|[ivxlIVXL]{1,6})\s*[-–]?[\])]?)"
 PAGE = re.compile(rf"(?:p\s?a\s?g\s?e|pg)\.?\s*{NUMBER}(?:\s+of\s+[0-9OIl]+)?\.?|{NUMBER}|{NUMBER}\s+of\s+[0-9OIl]+", re.I)
@@ -100,11 +108,13 @@ def _core(word: str) -> str:
 
 
 class Channel:
-    """Corpus counts, confusion probabilities, and decoding."""
+    """Corpus counts, confusion probabilities, and decoding. longest: letters of the longest word that others may be misread from;
+    top: count of the most frequent word of six letters or more."""
 
-    def __init__(self, uni: Counts, bi: Counts, total: float):
-        self.uni, self.bi, self.total = uni, bi, max(total, 1.0)
-        self.confusions = {(seen, true): math.log(p) for seen, true, p in CONFUSIONS}
+    def __init__(self, uni: Counts, bi: Counts, total: float, longest: int = 40, top: float = 0.0, odds: list[float] | None = None):
+        self.uni, self.bi, self.total, self.longest, self.top = uni, bi, max(total, 1.0), longest, top
+        self.odds = odds or [p for _, _, p in CONFUSIONS]
+        self.confusions = {(seen, true): (k, math.log(p)) for k, ((seen, true, _), p) in enumerate(zip(CONFUSIONS, self.odds))}
         self.cache: dict[str, tuple] = {}
         self.keys: dict[str, int] = {}
         self.good: set[str] = set()
@@ -129,6 +139,36 @@ class Channel:
             found = self.keys[word] = _key(word)
         return found
 
+    def readings(self, core: str) -> dict[str, tuple[float, tuple[int, ...]]]:
+        """What a word may be misread from → (log P(seen | printed), the confusions), the word itself left out."""
+        out: dict[str, tuple[float, tuple[int, ...]]] = {}
+        if not 3 <= len(core) <= self.longest + 3 or not any(map(str.isalpha, core)):
+            return out
+        own, odd = self.count(core), bool(ODD.search(core))
+        if not odd and own >= 0.0002 * self.total:
+            return out
+        layer: dict[str, tuple[float, tuple[int, ...]]] = {core: (0.0, ())}
+        least, rounds = max(8.0, 5 * own), 3 if odd else 2
+        if sum(not c.isalpha() for c in core if c not in "-'’") > rounds:  # a word has letters only, and each round mends one place
+            return out
+        for left in reversed(range(rounds)):
+            step: dict[str, tuple[float, tuple[int, ...]]] = {}
+            for w, (p, path) in layer.items():
+                for (seen, true), (k, q) in self.confusions.items():
+                    at = w.find(seen)
+                    while at >= 0:
+                        v = w[:at] + true + w[at + len(seen) :]
+                        if v not in step or p + q > step[v][0]:
+                            step[v] = (p + q, (*path, k))
+                        at = w.find(seen, at + 1)
+            layer = {v: x for v, x in step.items() if v not in out and v != core and sum(not c.isalpha() for c in v if c not in "-'’") <= left}
+            for v, x in layer.items():
+                if all(part.isalpha() for part in re.split(r"[-'’]", v) if part) and self.count(v) >= least:
+                    out.setdefault(v, x)
+            if out and not odd:
+                break
+        return out
+
     def options(self, word: str) -> tuple[tuple[str, float], ...]:
         """Candidates for what was printed, with log P(seen | printed): the word itself first."""
         found = self.cache.get(word)
@@ -136,29 +176,11 @@ class Channel:
             return found
         core = _core(word)
         out: dict[str, float] = {core: 0.0}
-        own = self.count(core)
-        odd = len(core) <= 40 and bool(ODD.search(core))
-        if 3 <= len(core) <= 40 and (odd or own < 0.0002 * self.total) and any(c.isalpha() for c in core):
-            layer = {core: 0.0}
-            for _ in range(3 if odd else 2):
-                step: dict[str, float] = {}
-                for w, p in layer.items():
-                    for (seen, true), q in self.confusions.items():
-                        at = w.find(seen)
-                        while at >= 0:
-                            v = w[:at] + true + w[at + len(seen) :]
-                            if p + q > step.get(v, -math.inf):
-                                step[v] = p + q
-                            at = w.find(seen, at + 1)
-                layer = {v: p for v, p in step.items() if v not in out}
-                for v, p in layer.items():
-                    parts = re.split(r"[-'’]", v)
-                    if all(x.isalpha() for x in parts if x) and self.count(v) >= max(8.0, 5 * own):
-                        out.setdefault(v, p)
-                if len(out) > 1 and not odd:
-                    break
-                if len(layer) > 400:
-                    break
+        if FIGURES.fullmatch(word.strip(EDGES)):
+            figure = word.strip(EDGES).translate(DIGITS)
+            out[figure] = sum(math.log(self.odds[0] if x in "lI" else self.odds[6]) for x in word.strip(EDGES) if x in "OlI")
+        else:
+            out |= {v: p for v, (p, _) in self.readings(core).items()}
         found = tuple(out.items())
         if len(self.cache) >= CACHE:
             self.cache.clear()
@@ -169,8 +191,11 @@ class Channel:
         return found
 
     def prior(self, word: str) -> float:
-        odd = len(word) <= 40 and bool(ODD.search(word))
-        return math.log(((0.0 if odd else self.count(word)) + (1e-4 if odd else 0.5)) / self.total)
+        """log P(printed): what holds figures in a word, or letters in a figure, is hardly ever printed."""
+        n = self.count(word) + 0.5
+        if len(word) <= self.longest + 3:
+            n = 1e-4 if ODD.search(word) else 1e-9 if LOW_FIGURES.fullmatch(word) else n
+        return math.log(n / self.total)
 
     def decode(self, words: list[str]) -> list[str | None]:
         """Viterbi over the candidates of each word: what replaces it, None where it stays."""
@@ -211,14 +236,14 @@ class Channel:
         whole, compound = self.count(a + b), self.count(f"{a}-{b}")
         if whole or compound:
             return whole >= compound
-        return not (self.count(a) >= 3 and self.count(b) >= 3)
+        known = max(3.0, 2e-6 * self.total)
+        return not (self.count(a) >= known and self.count(b) >= known)
 
     def broken(self, a: str, b: str) -> bool:
-        """Whether a space stands inside a word."""
+        """Whether a space stands inside a word: one of its parts is 50 times rarer than the whole."""
         if not (a.isalpha() and b.isalpha()) or len(a) + len(b) < 6:
             return False
-        whole = self.count(a + b)
-        return whole >= 8 and min(self.count(a), self.count(b)) <= 0.02 * whole
+        return max(1.0, min(self.count(a), self.count(b))) <= 0.02 * self.count(a + b)
 
 
 def _like(word: str, by: str) -> str:
@@ -286,43 +311,57 @@ class Reader:
 
     def halves(self, text: str, m: re.Match) -> tuple[str, str]:
         """The words before and after a hyphen."""
-        return TAIL.search(text, max(0, m.start() - 60), m.start())[0], HEAD.match(text, m.end())[0]
+        at = m.start()
+        while at and text[at - 1].isalpha():
+            at -= 1
+        return text[at : m.start()], HEAD.match(text, m.end())[0]
 
     def breaks(self, text: str) -> bool:
         if ("¬" in text or "\xad" in text) and SOFT.search(text):
             return True
         return ("- " in text or "-\n" in text or "-\r" in text) and any(self.c.joins(*self.halves(text, m)) for m in WRAPPED.finditer(text))
 
-    def split_words(self, text: str) -> bool:
+    def split_words(self, text: str) -> dict[int, list[int]]:
+        """Line number → places of words that continue in the next one."""
         c, usual = self.c, self.usual
         unknown = set(text.split()) - usual
+        for w in list(unknown):
+            # the rarer part of a broken word is 50 times rarer than the most frequent word, or more
+            if not (x := _core(w)).isalpha() or len(x) == 1 or c.count(x) > 0.02 * c.top:
+                usual.add(w)
+                unknown.discard(w)
+        if len(usual) > CACHE:
+            usual.clear()
+        out: dict[int, list[int]] = {}
         if unknown:
-            for w in list(unknown):
-                if not w.isalpha() or len(w) == 1 or c.count(w.lower()) > 40:
-                    usual.add(w)
-                    unknown.discard(w)
-            if len(usual) > CACHE:
-                usual.clear()
-        if not unknown:
-            return False
-        for line in text.split("\n"):
-            words = line.split()
-            if not unknown.isdisjoint(words):
-                cores = [_core(w) for w in words]
-                if any((a in unknown or b in unknown) and c.broken(x, y) for (a, b), (x, y) in zip(pairwise(words), pairwise(cores))):
-                    return True
-        return False
+            for i, line in enumerate(text.split("\n")):
+                words = line.split()
+                if not unknown.isdisjoint(words):
+                    at = [k for k, (a, b) in enumerate(pairwise(words)) if (a in unknown or b in unknown) and a[-1:].isalpha() and b[:1].isalpha() and c.broken(_core(a), _core(b))]
+                    if at:
+                        out[i] = at
+        return out
 
-    def noisy(self, text: str | None, entry: bool) -> bool:
+    def causes(self, text: str | None, entry: bool) -> Iterator[str]:
+        """What is wrong with a text: the channel is asked first, form and place last."""
         if not text or text.isspace():
-            return False
-        if entry:
-            if ENTRY_HEAD.search(text) or ENTRY_TAIL.search(text) or SPACED.search(text) or ENTRY_ODD.search(text):
-                return True
-            text = text.replace("_", " ")
-        elif furniture(text.replace("\r\n", "\n").replace("\r", "\n").split("\n")) or SPACED.search(text) or FIGURES.search(text):
-            return True
-        return self.breaks(text) or bool(self.words_fixed(text)) or self.split_words(text)
+            return
+        plain = text.replace("_", " ") if entry else text
+        if self.words_fixed(plain):
+            yield "misread"
+        if self.breaks(plain):
+            yield "broken at a line end"
+        if self.split_words(plain):
+            yield "broken by a space"
+        if SPACED.search(text):
+            yield "spaced out"
+        if entry and ENTRY_ODD.search(text):
+            yield "misread, of no known word"
+        if (ENTRY_HEAD.search(text) or ENTRY_TAIL.search(text)) if entry else furniture(text.replace("\r\n", "\n").replace("\r", "\n").split("\n")):
+            yield "page"
+
+    def noisy(self, text: str | None, entry: bool) -> bool:
+        return next(self.causes(text, entry), None) is not None
 
     def repair(self, text: str | None, entry: bool) -> str | None:
         """Readable paragraphs, or a plain entry."""
@@ -340,14 +379,15 @@ class Reader:
         lines = [x for x in lines if x is not None]
         text = SPACED.sub(lambda m: m[0].replace(" ", ""), "\n".join(lines))
         lines = text.split("\n")
-        for i, fixed in self.words_fixed(text).items():
+        fixes, splits = self.words_fixed(text), self.split_words(text)
+        for i in fixes.keys() | splits.keys():
             parts = re.split(r"(\s+)", lines[i])
-            at = 0
-            for k, part in enumerate(parts):
-                if part and not part.isspace():
-                    if fixed[at]:
-                        parts[k] = _like(part, fixed[at])
-                    at += 1
+            words = [k for k, part in enumerate(parts) if part and not part.isspace()]
+            for k, new in zip(words, fixes.get(i, ())):
+                if new:
+                    parts[k] = _like(parts[k], new)
+            for at in splits.get(i, ()):
+                parts[words[at] + 1] = ""
             lines[i] = "".join(parts)
         text = "\n".join(lines)
         text = re.sub("([^\\W\\d_])[¬\xad]\\s*(?=[^\\W\\d_])", r"\1", text)
@@ -375,8 +415,8 @@ def train(texts: DataFrame) -> Channel:
             keys = {w: _key(w) for w in uni}
             a = [*keys.values(), *[keys[u] for u, _ in bi]]
             b = [0] * len(uni) + [keys[v] for _, v in bi]
-            letter = [any(map(str.isalpha, w)) for w in uni] + [False] * len(bi)
-            got = pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64), "letter": np.array(letter, dtype=bool), "n": np.array([*uni.values(), *bi.values()], dtype=np.float64)})
+            word = [w if any(map(str.isalpha, w)) else None for w in uni] + [None] * len(bi)
+            got = pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64), "word": pd.Series(word, dtype=object), "n": np.array([*uni.values(), *bi.values()], dtype=np.float64)})
             uni.clear()
             bi.clear()
             return got
@@ -403,19 +443,56 @@ def train(texts: DataFrame) -> Channel:
         fold()
         yield out()
 
-    rows = texts.where(F.col("t").rlike(r"\S")).select("t").mapInPandas(count, "a long, b long, letter boolean, n double")
-    counted = materialise(rows.groupBy("a", "b").agg(F.max("letter").alias("letter"), F.sum("n").alias("n")), "counts")
+    rows = texts.where(F.col("t").rlike(r"\S")).select("t").mapInPandas(count, "a long, b long, word string, n double")
+    counted = materialise(rows.groupBy("a", "b").agg(F.max("word").alias("word"), F.sum("n").alias("n")), "counts")
     words, pairs = counted.where("b = 0"), counted.where("b <> 0")
-    total = words.where(F.col("a") != _key("")).agg(F.sum("n")).first()[0] or 0.0
+    got = words.where(F.col("a") != _key("")).agg(F.sum("n"), F.max(F.when(F.col("n") >= 8, F.length("word"))), F.max(F.when(F.length("word") >= 6, F.col("n")))).first()
+    total, longest, top = got[0] or 0.0, got[1] or 0, got[2] or 0.0
     for side in "ab":
         pairs = pairs.join(words.where("n = 1").select(F.col("a").alias(side)), side, "left_anti")
-    uni = words.where((F.col("a") != _key("")) & (F.col("letter") | (F.col("n") > 1))).select("a", "n").toArrow()
+    uni = words.where((F.col("a") != _key("")) & (F.col("word").isNotNull() | (F.col("n") > 1))).select("a", "n").toArrow()
     bi = pairs.select("a", "b", "n").toArrow()
     a, b = (bi[x].to_numpy().astype(np.int64).view(np.uint64) for x in "ab")
     x = (a * np.uint64(0x9E3779B97F4A7C15) ^ b) * np.uint64(0xC2B2AE3D27D4EB4F)
     x = (x ^ x >> np.uint64(32)).view(np.int64)
     x[x == 0] = 1
-    return Channel(Counts(uni["a"].to_numpy(), uni["n"].to_numpy()), Counts(x, bi["n"].to_numpy()), total)
+    channel = Channel(Counts(uni["a"].to_numpy(), uni["n"].to_numpy()), Counts(x, bi["n"].to_numpy()), total, longest, top)
+    return estimated(channel, words.where("word IS NOT NULL").select("word", "n"))
+
+
+def estimated(channel: Channel, words: DataFrame, rounds: int = 2) -> Channel:
+    """The channel with probabilities estimated from the distinct words (word, n) of the corpus."""
+    for _ in range(rounds):
+        shared = words.sparkSession.sparkContext.broadcast(channel)
+
+        def expect(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            c = shared.value
+            seen, printed = np.zeros(len(CONFUSIONS)), np.zeros(len(CONFUSIONS))
+            for pdf in batches:
+                for w, n in zip(pdf["word"], pdf["n"]):
+                    for k, (_, true, _) in enumerate(CONFUSIONS):
+                        if true in w:
+                            printed[k] += n * w.count(true)
+                    found = c.readings(w)
+                    if not found:
+                        continue
+                    score = {v: math.exp(p + c.prior(v)) for v, (p, _) in found.items()}
+                    whole = sum(score.values()) + math.exp(c.prior(w))
+                    for v, (_, path) in found.items():
+                        for k in path:
+                            seen[k] += n * score[v] / whole
+            yield pd.DataFrame({"k": range(len(CONFUSIONS)), "seen": seen, "printed": printed})
+
+        got = words.mapInPandas(expect, "k int, seen double, printed double").groupBy("k").agg(F.sum("seen").alias("seen"), F.sum("printed").alias("printed")).orderBy("k").collect()
+        first = [p for _, _, p in CONFUSIONS]
+        # most of a corpus isn't scanned: what is estimated is how the misreadings of the scanned part share out, at the rate first guessed
+        whole = sum(r.seen for r in got)
+        scale = sum(r.printed * first[r.k] for r in got) / whole if whole else 0.0
+        odds = first[:]
+        for r in got:
+            odds[r.k] = min(0.1, (first[r.k] + scale * r.seen / max(r.printed, 1.0)) / 2)
+        channel = Channel(channel.uni, channel.bi, channel.total, channel.longest, channel.top, odds)
+    return channel
 
 
 def _all(topics: DataFrame, entries: DataFrame) -> DataFrame:

@@ -60,3 +60,20 @@ def test_edges(spark, reader):
     rows = scan.repair(topics, entries, reader.c).collect()
     assert len(rows) == 9 and not any(r.noisy for r in rows)
     assert scan.find(topics.limit(0), entries.limit(0)).count() == 0
+
+
+def test_causes_and_repairs(spark, sf_dir):
+    """The channel is asked first; misread figures and words broken by a space are mended."""
+    from examloom.llm import queries
+
+    rows = scan._all(queries._heavy(spark, "/root/testdata/sf0.01", "get_headers"), queries._heavy(spark, "/root/testdata/sf0.01", "extract_toc"))
+    words = [(f"The management reviewed the portfolio in {2000 + i % 9} and it was sound.",) for i in range(400)]
+    c = scan.train(spark.createDataFrame(words, "t string"))
+    reader = scan.Reader(c)
+    text = "The manage ment reviewed the portfo1io of 1O,234 in 2005 and it was sound."
+    assert list(reader.causes(text, False)) == ["misread", "broken by a space"]
+    assert reader.repair(text, False) == "The management reviewed the portfolio of 10,234 in 2005 and it was sound."
+    trained = scan.Reader(scan.train(rows))
+    causes = [next(trained.causes(r.t, r.source_table == "extract_toc"), None) for r in rows.collect()]
+    assert causes.count("misread") > 0.25 * sum(x is not None for x in causes)
+    assert all(0 < p <= 0.1 for p in trained.c.odds) and trained.c.odds != [p for _, _, p in scan.CONFUSIONS]
