@@ -1,14 +1,14 @@
 """Variant spellings of names: which rows name the same bank, or the same examiner.
 
-Distinct spellings are cut into tokens. A symmetric-delete index over the blocking words (a bank's town, an examiner's
-surname) joins spellings whose words are within small edit distance: words and all their one- and two-letter deletions
-meet by equality, nothing is compared to everything. Each candidate pair is then verified by the cheapest assignment of the
+Distinct spellings are cut into tokens, and those with the same tokens are one form. A symmetric-delete index over the distinct
+towns and surnames finds those within small edit distance: words and all their one- and two-letter deletions meet by equality,
+nothing is compared to everything. Forms are candidates whose town, or surname and an initial, are near. Each candidate is verified by the cheapest assignment of the
 tokens of the shorter name to those of the longer, where equal words, slips, abbreviations, initials and nicknames cost
 more in this order. Words of banks are corrected and expanded before, by the same kind of index against the frequent words of
 the corpus (`SHARE` of its tokens, so at most 1/SHARE words at any size) and the fixed ones. Words that carry nothing (`EMPTY`,
 slips in them included) are left out; any other unmatched word keeps two names apart.
 
-Pairs of rows come out by joining the linked spellings back to their rows. A bare initial that fits two people who exclude each
+The result are members of forms and links between forms; pairs of rows come out by joining the two, in the query only. A bare initial that fits two people who exclude each
 other is linked to neither of the two. A name without a middle name that fits several keeps links to the one with most rows by
 far, if any, and to other names without a middle name.
 
@@ -19,7 +19,7 @@ under another serial number count as rows. Extra columns are dropped.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -59,6 +59,9 @@ SHORT = {
 EMPTY = frozenset("the of and na n.a ssb chartered inc incorporated corp fsb".split())
 #: A frequent word has this share of the tokens of all spellings; a frequent token that is this much rarer than a word is a slip in it.
 SHARE, RARER = 0.001, 20
+#: Letters whose deletions are indexed. Two words within k edits have beginnings of any length within k deletions on both sides (what an
+#: edit shifts out of one is deleted from the other), so none is missed; it only bounds the forms of very long words.
+WINDOW = 40
 #: Rows with one middle initial against those with any other, from which on the others are exceptions.
 CLEAR = 4
 SUFFIX = {"jr": "jr", "junior": "jr", "sr": "sr", "senior": "sr", "ii": "ii", "iii": "iii", "iv": "iv"}
@@ -71,6 +74,11 @@ def distance(a: str, b: str, most: int = 2) -> int:
         return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
+    return _edits(a, b, most) if len(a) <= 64 else _edits.__wrapped__(a, b, most)
+
+
+@lru_cache(maxsize=400_000)
+def _edits(a: str, b: str, most: int) -> int:
     before, row = None, list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         new = [i]
@@ -115,7 +123,7 @@ class Lexicon:
         self.forms: dict[str, list[str]] = {}
         for w in self.counts:
             if _slips(w):
-                for form in deletes(w[:40], _slips(w)):
+                for form in deletes(w[:WINDOW], _slips(w)):
                     self.forms.setdefault(form, []).append(w)
         self.cache: dict[str, str] = {}
 
@@ -126,7 +134,7 @@ class Lexicon:
         found = self.cache.get(word)
         if found is None:
             own = self.counts.get(word, 0)
-            near = {w for form in deletes(word[:40], _slips(word)) for w in self.forms.get(form, ()) if self.counts[w] > RARER * own} - {word}
+            near = {w for form in deletes(word[:WINDOW], _slips(word)) for w in self.forms.get(form, ()) if self.counts[w] > RARER * own} - {word}
             ranked = [(d, -self.counts[w], w) for w in near if (d := distance(word, w, 2)) <= _slips(min(word, w, key=len))]
             found = min(ranked)[2] if ranked else word
             if not ranked and word not in self.counts and len(word) in (3, 4) and any(distance(word, w, 1) <= 1 for w in ("the", "and", "inc")):
@@ -185,18 +193,33 @@ def same_state(a: str, b: str, codes: dict[str, str] | None = None) -> bool:
 
 
 def assign(cost: list[list[float]], skip: list[float]) -> float:
-    """The cheapest assignment of the rows to different columns; a row may be left out at its own cost."""
-    best = {0: 0.0}
-    for i, row in enumerate(cost):
-        step: dict[int, float] = {}
-        for used, total in best.items():
-            options = [(used, total + skip[i])]
-            options += [(used | 1 << j, total + c) for j, c in enumerate(row) if c < 9 and not used >> j & 1]
-            for key, value in options:
-                if value < step.get(key, 1e9):
-                    step[key] = value
-        best = dict(sorted(step.items(), key=lambda kv: kv[1])[:256]) if len(step) > 256 else step
-    return min(best.values())
+    """The cheapest assignment of the rows to different columns, by augmenting paths; a row may be left out at its own cost."""
+    n, m = len(cost), len(cost[0]) if cost else 0
+    wide = [[*row, *[skip[i] if i == k else 1e9 for k in range(n)]] for i, row in enumerate(cost)]
+    u, v, taken = [0.0] * (n + 1), [0.0] * (m + n + 1), [0] * (m + n + 1)
+    for i in range(1, n + 1):
+        taken[0], at = i, 0
+        low, way, seen = [1e18] * (m + n + 1), [0] * (m + n + 1), [False] * (m + n + 1)
+        while taken[at]:
+            seen[at] = True
+            row, best, to = taken[at], 1e18, 0
+            for j in range(1, m + n + 1):
+                if not seen[j]:
+                    c = wide[row - 1][j - 1] - u[row] - v[j]
+                    if c < low[j]:
+                        low[j], way[j] = c, at
+                    if low[j] < best:
+                        best, to = low[j], j
+            for j in range(m + n + 1):
+                if seen[j]:
+                    u[taken[j]] += best
+                    v[j] -= best
+                else:
+                    low[j] -= best
+            at = to
+        while at:
+            taken[at], at = taken[way[at]], way[at]
+    return sum(wide[taken[j] - 1][j - 1] for j in range(1, m + n + 1) if taken[j])
 
 
 def _word_cost(a: str, b: str) -> float:
@@ -208,11 +231,20 @@ def _word_cost(a: str, b: str) -> float:
     return 0.35 if short_for(s, t) and len(t) > 3 else 9.0
 
 
-def same_bank(name_a: str, at_a: str, name_b: str, at_b: str, codes: dict[str, str] | None = None, lexicon: Lexicon = FIXED) -> bool:
-    (town_a, state_a), (town_b, state_b) = place(at_a), place(at_b)
+Bank = tuple[tuple[str, ...], str, str]  # corrected words, town, state
+Person = tuple[str, tuple[str, ...], str]  # surname, given names and initials, suffix
+
+
+def bank_form(name: str, location: str, lexicon: Lexicon = FIXED) -> Bank:
+    """All that is compared of a spelling."""
+    town, state = place(location)
+    return bank_tokens(name, town, lexicon), town, state
+
+
+def same_bank(x: Bank, y: Bank, codes: dict[str, str] | None = None) -> bool:
+    (a, town_a, state_a), (b, town_b, state_b) = x, y
     if distance(town_a, town_b, 2) > min(2, max(_slips(town_a), _slips(town_b))) or not same_state(state_a, state_b, codes):
         return False
-    a, b = bank_tokens(name_a, town_a, lexicon), bank_tokens(name_b, town_b, lexicon)
     # a name may add its own town
     near_town = lambda w: distance(w, town_a, 2) <= _slips(town_a)
     full_a, full_b = a, b
@@ -224,14 +256,11 @@ def same_bank(name_a: str, at_a: str, name_b: str, at_b: str, codes: dict[str, s
         return True
     if len(a) > len(b):
         a, b = b, a
-    if len(b) - len(a) > 1 or len(b) > 14:
-        joined = "".join(sorted(a)), "".join(sorted(b))
-        return distance(*joined, 2) <= 2
-    cost = [[_word_cost(x, y) for y in b] for x in a]
-    total = assign(cost, [9.0] * len(a)) + (9.0 if len(a) != len(b) else 0.0)
-    if total >= 9:  # a word broken in two, or two run together
-        return distance("".join(a), "".join(b), 2) <= 2
-    return total <= 0.36 * len(b)
+    if len(a) == len(b) and assign([[_word_cost(v, w) for w in b] for v in a], [9.0] * len(a)) <= 0.36 * len(b):
+        return True
+    # a word broken in two, or two run together; in another order where more words differ
+    order = sorted if len(b) - len(a) > 1 else list
+    return distance("".join(order(a)), "".join(order(b)), 2) <= 2
 
 
 @lru_cache(maxsize=400_000)
@@ -291,8 +320,8 @@ def given_cost(a: str, b: str) -> float:
     return 0.3 if any(len(n) > 3 and v == t and distance(s, n, 1) <= 1 for n, v in NICKNAMES.items()) else 9.0
 
 
-def same_person(a: str, b: str) -> bool:
-    (last_a, first_a, suf_a), (last_b, first_b, suf_b) = person(a), person(b)
+def same_person(a: Person, b: Person) -> bool:
+    (last_a, first_a, suf_a), (last_b, first_b, suf_b) = a, b
     if not last_a or not last_b or suf_a and suf_b and suf_a != suf_b:
         return False
     if distance(last_a, last_b, 2) > min(_slips(last_a), _slips(last_b)):
@@ -309,60 +338,63 @@ def same_person(a: str, b: str) -> bool:
     return True
 
 
-def _blocked(keys: DataFrame, word, columns: list[str]) -> DataFrame:
-    """(deleted form, key id) for the symmetric-delete join."""
-    schema = "form string, id long"
+@lru_cache(maxsize=200_000)
+def initials(given: str) -> tuple[str, ...]:
+    """The first letters of what a given name may stand for, one more than slips it may have: two names that given_cost() lets pass
+    share one of them."""
+    names = {given, NICKNAMES.get(given, given), ALSO.get(given, given)}
+    if len(given) > 3:
+        names |= {full for short, full in NICKNAMES.items() if distance(given, short, 1) <= 1}
+    return tuple(sorted({c for n in names for c in n[: 1 if len(n) < 3 else 2 if len(n) < 6 else 3]}))
+
+
+def neighbours(words: DataFrame) -> DataFrame:
+    """(word, near): different words with a deleted form in common, and each word itself, of distinct words (word)."""
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            forms, ids = [], []
-            for row in pdf.itertuples(index=False):
-                w = word(*[getattr(row, c) for c in columns])
-                if w:
-                    found = deletes(w[:40], _slips(w))
-                    forms += found
-                    ids += [row.id] * len(found)
-            yield pd.DataFrame({"form": forms, "id": pd.Series(ids, dtype="int64")})
-
-    return keys.select("id", *columns).mapInPandas(index, schema)
-
-
-def linked(keys: DataFrame, word, same, columns: list[str]) -> DataFrame:
-    """(a, b) with a < b: ids of different spellings that mean the same."""
-    forms = _blocked(keys, word, columns)
-    other = forms.select("form", F.col("id").alias("b"))
-    pairs = forms.withColumnRenamed("id", "a").join(other, "form").where("a < b").select("a", "b").distinct()
-    left = keys.select(F.col("id").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
-    right = keys.select(F.col("id").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
-    full = pairs.join(left, "a").join(right, "b")
+            found = [(form, w) for w in pdf["word"] for form in deletes(w[:WINDOW], _slips(w))]
+            yield pd.DataFrame(found, columns=["form", "word"])
 
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            at = [pdf[f"{c}_{s}"] for s in "ab" for c in columns]
-            yield pdf.loc[[same(*v) for v in zip(*at)], ["a", "b"]]
+    forms = _spread(words).mapInPandas(index, "form string, word string")
+    return forms.join(forms.withColumnRenamed("word", "near"), "form").select("word", "near").distinct()
 
-    return full.select("a", "b", *[f"{c}_{s}" for s in "ab" for c in columns]).mapInPandas(verify, "a long, b long")
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Over all cores, as little data is much work."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
-def _keys(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct spellings with an id that is the same in every run."""
-    return rows.select(*columns).distinct().withColumn("id", F.xxhash64(*columns))
 
+def linked(forms: DataFrame, same: Callable, columns: list[str]) -> DataFrame:
+    """(a, b) with a < b: ids of different forms (id, word, keys, columns) that mean the same. Forms are compared whose words are near
+    and that share a key; same() gets the columns of both."""
+    near = materialise(neighbours(forms.select("word").where("word <> ''").distinct()), "near")
+    keyed = forms.select("id", "word", F.explode("keys").alias("key"))
+    left = keyed.join(near, "word").select(F.col("id").alias("a"), F.col("near").alias("word"), "key")
+    pairs = left.join(keyed.withColumnRenamed("id", "b"), ["word", "key"]).where("a < b").select("a", "b").distinct()
+    side = lambda s: forms.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns])
+    full = pairs.join(side("a"), "a").join(side("b"), "b")
 
-def _rows(rows: DataFrame, columns: list[str], links: DataFrame, entity: str) -> DataFrame:
-    at = rows.select("serial_no", F.xxhash64(*columns).alias("id"))
-    a = at.select(F.col("id").alias("a"), F.col("serial_no").alias("x"))
-    b = at.select(F.col("id").alias("b"), F.col("serial_no").alias("y"))
-    pairs = links.join(a, "a").join(b, "b").where("x != y")
-    return pairs.select(F.lit(entity).alias("entity"), F.least("x", "y").alias("serial_a"), F.greatest("x", "y").alias("serial_b"))
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            x, y = ([(tuple(v[0]), *v[1:]) for v in zip(*[pdf[f"{c}_{s}"] for c in columns])] for s in "ab")
+            yield pdf.loc[[same(p, q) for p, q in zip(x, y)], ["a", "b"]]
 
+    return _spread(full.select("a", "b", *[f"{c}_{s}" for s in "ab" for c in columns])).mapInPandas(verify, "a long, b long")
 
-def _town(bank_name: str, bank_location: str) -> str:
-    return place(bank_location)[0]
 
+def _keys(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(columns, spelling, n): distinct spellings with an id that is the same in every run, and their rows."""
+    return rows.groupBy(*columns).agg(F.count("*").alias("n")).withColumn("spelling", F.xxhash64(*columns))
 
-def _surname(examiner_in_charge: str) -> str:
-    return person(examiner_in_charge)[0]
+
+def expanded(members: DataFrame, links: DataFrame, entity: str) -> DataFrame:
+    """(entity, serial_a, serial_b): every pair of rows with different spellings of one form or of linked forms."""
+    a = members.select(F.col("id").alias("a"), F.col("spelling").alias("sa"), F.col("serial_no").alias("x"))
+    b = members.select(F.col("id").alias("b"), F.col("spelling").alias("sb"), F.col("serial_no").alias("y"))
+    every = links.select("a", "b").unionAll(members.select(F.col("id").alias("a"), F.col("id").alias("b")).distinct())
+    pairs = every.join(a, "a").join(b, "b").where("sa <> sb AND (a <> b OR x < y)")
+    return pairs.select(F.lit(entity).alias("entity"), F.least("x", "y").alias("serial_a"), F.greatest("x", "y").alias("serial_b"))
 
 
 def state_codes(keys: DataFrame) -> dict[str, str]:
@@ -376,7 +408,7 @@ def state_codes(keys: DataFrame) -> dict[str, str]:
     codes, states = at.where("length(state) = 2").select("town", F.col("state").alias("code")), at.where("length(state) > 4")
     n = codes.join(states, "town").groupBy("code", "state").agg(F.count("*").alias("n")).where("n >= 3")
     best = n.groupBy("code").agg(F.max_by("state", F.struct("n", "state")).alias("state"))
-    return {r.code: r.state for r in best.orderBy("code").limit(676).collect()}  # there are 676 codes of two letters
+    return {r.code: r.state for r in best.where("code RLIKE '^[a-z]{2}$'").orderBy("code").collect()}  # there are 676 such codes
 
 
 def frequent_words(keys: DataFrame) -> dict[str, int]:
@@ -392,41 +424,59 @@ def frequent_words(keys: DataFrame) -> dict[str, int]:
     return {r.word: r.n for r in found.select("word", "n").orderBy("word").collect()}  # at most 1/SHARE
 
 
-def bank_links(rows: DataFrame) -> DataFrame:
+def banks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (serial_no, spelling, id) of forms, and links (a, b) between different forms of one bank."""
     columns = ["bank_name", "bank_location"]
     rows = rows.where("trim(bank_name) <> '' AND trim(bank_location) <> ''")
     keys = materialise(_keys(rows, columns), "banks")
     codes, lexicon = state_codes(keys), Lexicon(frequent_words(keys))
-    return _rows(rows, columns, linked(keys, _town, lambda *v: same_bank(*v, codes, lexicon), columns), "bank")
 
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [bank_form(*v, lexicon) for v in zip(pdf["bank_name"], pdf["bank_location"])]
+            yield pd.DataFrame({"spelling": pdf["spelling"], "words": [list(f[0]) for f in found], "word": [f[1] for f in found], "state": [f[2] for f in found]})
+
+    cuts = _spread(keys).mapInPandas(cut, "spelling long, words array<string>, word string, state string")
+    cuts = materialise(cuts.where("word <> ''").withColumn("id", F.xxhash64("words", "word", "state")), "forms")
+    forms = cuts.select("id", "words", "word", "state", F.array(F.lit("")).alias("keys")).dropDuplicates(["id"])
+    links = linked(forms, lambda x, y: same_bank(x, y, codes), ["words", "word", "state"])
+    return _members(rows, columns, cuts), links
 
-def examiner_links(rows: DataFrame) -> DataFrame:
+
+def _members(rows: DataFrame, columns: list[str], cuts: DataFrame) -> DataFrame:
+    """(serial_no, spelling, id) of every row whose spelling has a form; rows of one spelling aren't pairs, so its hash is enough."""
+    return rows.select("serial_no", F.xxhash64(*columns).alias("spelling")).join(cuts.select("spelling", "id"), "spelling")
+
+
+def examiners(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (serial_no, spelling, id) of forms, and links (a, b) between different forms of one examiner."""
     columns = ["examiner_in_charge"]
     rows = rows.where("trim(examiner_in_charge) <> ''")
-    counted = rows.groupBy(*columns).agg(F.count("*").alias("n")).withColumn("id", F.xxhash64(*columns))
-    keys = materialise(counted, "examiners")
-    links = materialise(linked(keys, _surname, same_person, columns), "people")
-    return _rows(rows, columns, _unambiguous(keys, links), "examiner")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [person(v) for v in pdf["examiner_in_charge"]]
+            yield pd.DataFrame({
+                "spelling": pdf["spelling"], "n": pdf["n"], "names": [list(f[1]) for f in found], "word": [f[0] for f in found], "suffix": [f[2] for f in found], "keys": [list(initials(f[1][0])) if f[1] else [] for f in found],
+            })
+
+    cuts = _spread(materialise(_keys(rows, columns), "examiners")).mapInPandas(cut, "spelling long, n long, names array<string>, word string, suffix string, keys array<string>")
+    cuts = materialise(cuts.where("word <> '' AND size(names) > 0").withColumn("id", F.xxhash64("names", "word", "suffix")), "people")
+    forms = cuts.groupBy("id").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in ("names", "word", "suffix", "keys")])
+    links = materialise(linked(forms, lambda x, y: same_person((x[1], x[0], x[2]), (y[1], y[0], y[2])), ["names", "word", "suffix"]), "people")
+    return _members(rows, columns, cuts), _unambiguous(forms, links)
 
 
 def _unambiguous(keys: DataFrame, links: DataFrame) -> DataFrame:
-    """Without the links of spellings to neighbours of two different people. keys: (id, examiner_in_charge, n rows).
+    """Without the links of forms to neighbours of two different people. keys: (id, names, n rows).
 
     A bare initial that meets two different given names is ambiguous and keeps no link. A name without a middle name that meets
     different middle initials, weighed by their rows, keeps links to the one that has `CLEAR` times the rows of all others (to none
     if none has), and in any case to names without a middle name.
     """
 
-    @F.pandas_udf("given string, middle string, bare boolean, open boolean")
-    def parts(names: pd.Series) -> pd.DataFrame:
-        out = []
-        for n in names:
-            _, first, _ = person(n)
-            given = first[0] if first else ""
-            out.append((given, first[1][0] if len(first) > 1 else "", len(given) <= 1, len(first) < 2))
-        return pd.DataFrame(out, columns=["given", "middle", "bare", "open"])
-
-    named = keys.select("id", "n", parts("examiner_in_charge").alias("p")).select("id", "n", "p.*")
+    given, middle = F.get("names", F.lit(0)), F.coalesce(F.left(F.get("names", F.lit(1)), F.lit(1)), F.lit(""))
+    named = keys.select("id", "n", given.alias("given"), middle.alias("middle"), (F.length(given) <= 1).alias("bare"), (F.size("names") < 2).alias("open"))
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = both.join(named.withColumnRenamed("id", "b"), "b")
     seen = near.groupBy("a").agg(F.array_sort(F.collect_set(F.when(~F.col("bare"), F.col("given")))).alias("givens"))
@@ -446,5 +496,5 @@ def _unambiguous(keys: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def variants(rows: DataFrame) -> DataFrame:
-    """(entity, serial_a, serial_b) of all rows (serial_no, bank_name, bank_location, examiner_in_charge)."""
-    return bank_links(rows).unionAll(examiner_links(rows))
+    """(entity, serial_a, serial_b) of all rows (serial_no, bank_name, bank_location, examiner_in_charge): banks() and examiners() as pairs of rows."""
+    return expanded(*banks(rows), "bank").unionAll(expanded(*examiners(rows), "examiner"))

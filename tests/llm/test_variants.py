@@ -5,6 +5,14 @@ from examloom.llm import variants as V
 from examloom.session import table
 
 
+def same_bank(name_a, at_a, name_b, at_b):
+    return V.same_bank(V.bank_form(name_a, at_a), V.bank_form(name_b, at_b))
+
+
+def same_person(a, b):
+    return V.same_person(V.person(a), V.person(b))
+
+
 def plain_distance(a, b):
     d = {}
     for i in range(len(a) + 1):
@@ -42,19 +50,19 @@ def test_assignment_against_all():
 def test_banks():
     at = "Dunomplomouth, Tamberlin"
     for a, b in [("First National Bank of Dunomplomouth", "Frst Nat. Bk of Dunomplomouth"), ("Savings Bank, Dunomplomouth", "The Dunomplomouth Savings Bank"), ("Elsarvgugate_Bank_and_Trust_Company", "Elsarvgugate Bk. & Tr. Co"), ("FNB of Dunomplomouth", "FIRST NATIONAL BANK OF DUNOMPLOMOTUH"), ("Pioneer Trst Company *", "Trust Company, Pioneer")]:
-        assert V.same_bank(a, at, b, "Dunomplomouth, TB"), (a, b)
-    assert not V.same_bank("Peoples Trust Company", at, "Peoples Trust Company", "Elsomshidale, New Arden")
-    assert not V.same_bank("Peoples Trust Company", at, "Pioneer Trust Company", at)
-    assert not V.same_bank("Bank of Dunomplomouth", at, "First National Bank of Dunomplomouth", at)
-    assert not V.same_bank("Pioneer Savings Bank", "Falortipool, Wendomin", "Pioneer Savings Bank", "Falortipool, Quorrin")
+        assert same_bank(a, at, b, "Dunomplomouth, TB"), (a, b)
+    assert not same_bank("Peoples Trust Company", at, "Peoples Trust Company", "Elsomshidale, New Arden")
+    assert not same_bank("Peoples Trust Company", at, "Pioneer Trust Company", at)
+    assert not same_bank("Bank of Dunomplomouth", at, "First National Bank of Dunomplomouth", at)
+    assert not same_bank("Pioneer Savings Bank", "Falortipool, Wendomin", "Pioneer Savings Bank", "Falortipool, Quorrin")
 
 
 def test_slips_in_frequent_words():
     at = "Dunomplomouth, Tamberlin"
     for slip in ("Firrst", "Fisrt", "Firts", "Firat", "Fist"):
-        assert V.same_bank("First National Bank of Dunomplomouth", at, f"{slip} National Bank of Dunomplomouth", at), slip
-    assert V.same_bank("Pioneer Savings Bank, Chartered", at, "Pioneer Savings Bank, Chartdred", at)
-    assert V.same_bank("Pioneer Bank and Trust Company", at, "Pioneer Bank adn Trst Company", at)
+        assert same_bank("First National Bank of Dunomplomouth", at, f"{slip} National Bank of Dunomplomouth", at), slip
+    assert same_bank("Pioneer Savings Bank, Chartered", at, "Pioneer Savings Bank, Chartdred", at)
+    assert same_bank("Pioneer Bank and Trust Company", at, "Pioneer Bank adn Trst Company", at)
     lexicon = V.Lexicon({"harborview": 500, "harborvied": 3})
     assert lexicon.correct("habrorvieww") == lexicon.correct("harborvied") == "harborview"
     assert V.bank_tokens("Pioneer Savinsg Bank of Trusd", "trust", lexicon) == ("pioneer", "savings", "bank", "trusd")
@@ -68,15 +76,15 @@ def test_frequent_words(spark):
 
 def test_people():
     for a, b in [("Skelendseman, Gerry", "Gerald K. Skelendseman"), ("(EIC) Margaret P. Holi-ntdiski ", "Meg Holintdiski"), ("GRIESKPUDEZ Jennifer", "J. M. Grieskpudez"), ("Wil. F Peledshimark", "William F. Peledshimark; on site"), ("Chris Holim gradorf", "Chirstopher Holimgradorf"), ("Frederick Osufsleham Sr.", "F. P. Osufsleham Sr. (Lead)")]:
-        assert V.same_person(a, b), (a, b, V.person(a), V.person(b))
+        assert same_person(a, b), (a, b, V.person(a), V.person(b))
     for a, b in [("Quentin C. Gleninpulund", "Priya G. Gleninpulund"), ("Larry Korelfovik", "Harry Korelfovik"), ("Frederick Osufsleham Sr.", "Frederick Osufsleham Jr."), ("Gerald K. Skelendseman", "Gerald B. Skelendseman")]:
-        assert not V.same_person(a, b), (a, b)
+        assert not same_person(a, b), (a, b)
 
 
 def test_middle_initials_by_rows(spark):
     def pairs(names):
         df = spark.createDataFrame([(i, "", "", n) for i, n in enumerate(names)], "serial_no long, bank_name string, bank_location string, examiner_in_charge string")
-        return {frozenset((names[r.serial_a], names[r.serial_b])) for r in V.examiner_links(df).collect()}
+        return {frozenset((names[r.serial_a], names[r.serial_b])) for r in V.expanded(*V.examiners(df), "examiner").collect()}
 
     full, odd, plain = "Susan A. Wexlerand", "Susan S. Wexlerand", ["Susan Wexlerand", "Wexlerand, Susan", "SUSAN WEXLERAND"]
     among = {frozenset(p) for p in itertools.combinations(plain, 2)}
@@ -85,15 +93,19 @@ def test_middle_initials_by_rows(spark):
     assert pairs([full] * 5 + ["S. Wexlerand", "Steven Wexlerand", plain[0]]) == {frozenset((full, plain[0]))}
 
 
-def test_pairs_like_all_pairs(spark):
+def test_pairs_like_all_pairs(spark, monkeypatch):
     """The index loses no pair that the verification accepts."""
     rows = table(spark, "/root/testdata/sf0.001", "get_headers_v1").unionAll(table(spark, "/root/testdata/sf0.01", "get_headers_v1").where("serial_no > 300"))
-    h = [r for r in rows.collect() if r.bank_name and r.bank_location]
-    keys = V._keys(rows.where("bank_name IS NOT NULL AND bank_location IS NOT NULL"), ["bank_name", "bank_location"])
-    names = {r.id: (r.bank_name, r.bank_location) for r in keys.collect()}
-    got = {frozenset((names[r.a], names[r.b])) for r in V.linked(keys, V._town, V.same_bank, ["bank_name", "bank_location"]).collect()}
-    spellings = sorted({(r.bank_name, r.bank_location) for r in h})
-    assert got == {frozenset((x, y)) for x, y in itertools.combinations(spellings, 2) if V.same_bank(*x, *y)}
+    with_bank = rows.where("trim(bank_name) <> '' AND trim(bank_location) <> ''")
+    keys = V._keys(with_bank, ["bank_name", "bank_location"])
+    codes, lexicon = V.state_codes(keys), V.Lexicon(V.frequent_words(keys))
+    spelled = {r.serial_no: (r.bank_name, r.bank_location) for r in with_bank.collect()}
+    got = {frozenset((spelled[r.serial_a], spelled[r.serial_b])) for r in V.expanded(*V.banks(rows), "bank").collect()}
+    assert got == {frozenset((x, y)) for x, y in itertools.combinations(sorted(set(spelled.values())), 2) if V.same_bank(V.bank_form(*x, lexicon), V.bank_form(*y, lexicon), codes)}
+    monkeypatch.setattr(V, "_unambiguous", lambda forms, links: links)
+    named = {r.serial_no: r.examiner_in_charge for r in rows.where("trim(examiner_in_charge) <> ''").collect()}
+    got = {frozenset((named[r.serial_a], named[r.serial_b])) for r in V.expanded(*V.examiners(rows), "examiner").collect()}
+    assert got == {frozenset((x, y)) for x, y in itertools.combinations(sorted(set(named.values())), 2) if same_person(x, y)}
 
 
 def test_edges(spark):
