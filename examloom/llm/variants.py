@@ -8,9 +8,9 @@ more in this order. Words of banks are corrected and expanded before, by the sam
 the corpus (`SHARE` of its tokens, so at most 1/SHARE words at any size) and the fixed ones. Words that carry nothing (`EMPTY`,
 slips in them included) are left out; any other unmatched word keeps two names apart.
 
-The result are members of forms and links between forms; pairs of rows come out by joining the two, in the query only. A bare initial that fits two people who exclude each
-other is linked to neither of the two. A name without a middle name that fits several keeps links to the one with most rows by
-far, if any, and to other names without a middle name.
+The result are members of forms and links between forms; pairs of rows come out by joining the two, in the query only. A bare initial that fits people who exclude each
+other is linked to the one with the nearest surname, and to nobody if these are several. A name without a middle name that fits
+several keeps links to the nearest too, of several the one with by far the most rows, and to other names without a middle name.
 
 Defined results: rows with a null or blank name (or location) have no pairs, and neither have equal spellings. Rows repeated
 under another serial number count as rows. Extra columns are dropped.
@@ -467,32 +467,51 @@ def examiners(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _members(rows, columns, cuts), _unambiguous(forms, links)
 
 
+def _clear(people: list[tuple[str, int]]) -> list[str]:
+    """Given names that a bare initial means, of (given, edits in the surname): those with the nearest surname and what passes for
+    them, if they are one name; none otherwise."""
+    near = min(d for _, d in people)
+    groups: list[set[str]] = []
+    for given, d in sorted(people):
+        if d == near:
+            hit = [g for g in groups if any(given_cost(given, x) < 9 for x in g)]
+            groups = [g for g in groups if g not in hit] + [{given}.union(*hit)]
+    return [given for given, _ in people if any(given_cost(given, x) < 9 for x in groups[0])] if len(groups) == 1 else []
+
+
 def _unambiguous(keys: DataFrame, links: DataFrame) -> DataFrame:
-    """Without the links of forms to neighbours of two different people. keys: (id, names, n rows).
+    """Without the links of forms to neighbours of two different people. keys: (id, names, word, n rows).
 
-    A bare initial that meets two different given names is ambiguous and keeps no link. A name without a middle name that meets
-    different middle initials, weighed by their rows, keeps links to the one that has `CLEAR` times the rows of all others (to none
-    if none has), and in any case to names without a middle name.
+    A bare initial that meets different given names keeps links to the one with the nearest surname, and loses all links if these are
+    several. A name without a middle name that meets different middle initials keeps links to the one with the nearest surname, of
+    several the one with `CLEAR` times the rows of the others, and in any case to names without a middle name.
     """
-
     given, middle = F.get("names", F.lit(0)), F.coalesce(F.left(F.get("names", F.lit(1)), F.lit(1)), F.lit(""))
-    named = keys.select("id", "n", given.alias("given"), middle.alias("middle"), (F.length(given) <= 1).alias("bare"), (F.size("names") < 2).alias("open"))
+    named = keys.select("id", "word", "n", given.alias("given"), middle.alias("middle"), (F.length(given) <= 1).alias("bare"), (F.size("names") < 2).alias("open"))
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.join(named.withColumnRenamed("id", "b"), "b")
-    seen = near.groupBy("a").agg(F.array_sort(F.collect_set(F.when(~F.col("bare"), F.col("given")))).alias("givens"))
-    rows = near.where("middle <> ''").groupBy("a", "middle").agg(F.sum("n").alias("w"))
-    most = rows.groupBy("a").agg(F.max_by("middle", F.struct("w", "middle")).alias("most"), F.max("w").alias("top"), F.sum("w").alias("every"), F.count("*").alias("kinds")).where("kinds > 1")
-    meant = most.join(named.where("open").select(F.col("id").alias("a")), "a", "left_semi").select("a", F.when(F.col("top") >= CLEAR * (F.col("every") - F.col("top")), F.col("most")).alias("meant"))
-    other = near.where("middle <> ''").join(meant, "a").where("meant IS NULL OR meant <> middle").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    @F.pandas_udf("boolean")
-    def differ(givens: pd.Series) -> pd.Series:
-        return pd.Series([any(given_cost(x, y) >= 9 for i, x in enumerate(g) for y in g[:i]) for g in (list(v) for v in givens)])
-
-    own = named.join(seen.withColumnRenamed("a", "id"), "id")
-    doubtful = own.where(F.col("bare") & differ("givens")).select("id")
-    out = links.join(other, ["a", "b"], "left_anti").join(doubtful.withColumnRenamed("id", "a"), "a", "left_anti")
-    return out.join(doubtful.withColumnRenamed("id", "b"), "b", "left_anti").select("a", "b")
+    other = named.select(F.col("id").alias("b"), F.col("word").alias("word_b"), "n", "given", "middle", F.col("bare").alias("bare_b"))
+    own = named.select(F.col("id").alias("a"), F.col("word").alias("word_a"), F.col("bare").alias("bare_a"), "open")
+    near = materialise(both.join(other, "b").join(own, "a").withColumn("d", F.levenshtein("word_a", "word_b")).drop("word_a", "word_b"), "near")
+
+    @F.pandas_udf("array<string>")
+    def meant(people: pd.Series) -> pd.Series:
+        return pd.Series([_clear([(x["given"], x["d"]) for x in v]) for v in people], dtype=object)
+
+    met = near.where("bare_a AND NOT bare_b").groupBy("a", "given").agg(F.min("d").alias("d"))
+    several = met.groupBy("a").agg(F.collect_list(F.struct("given", "d")).alias("people")).where("size(people) > 1")
+    chosen = materialise(_spread(several).select("a", meant("people").alias("kept")), "meant")
+    doubtful = chosen.where("size(kept) = 0").select("a")
+    strangers = near.where("bare_a AND NOT bare_b").join(chosen.where("size(kept) > 0"), "a").where("NOT array_contains(kept, given)").select("a", "b")
+
+    rows = near.where("open AND middle <> ''").groupBy("a", "middle").agg(F.min("d").alias("d"), F.sum("n").alias("w"))
+    kinds = rows.groupBy("a").agg(F.collect_list(F.struct("d", "w", "middle")).alias("k")).where("size(k) > 1")
+    best = "filter(k, x -> x.d = array_min(k).d)"
+    top = kinds.selectExpr("a", f"{best} AS k").selectExpr("a", "array_max(transform(k, x -> struct(x.w, x.middle))) AS top", "aggregate(k, 0L, (s, x) -> s + x.w) AS every")
+    middles = top.selectExpr("a", f"CASE WHEN top.w >= {CLEAR} * (every - top.w) THEN top.middle END AS meant")
+    others = near.where("middle <> ''").join(middles, "a").where("meant IS NULL OR meant <> middle").select("a", "b")
+    dropped = strangers.unionAll(others).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    out = links.join(dropped, ["a", "b"], "left_anti").join(doubtful, "a", "left_anti")
+    return out.join(doubtful.withColumnRenamed("a", "b"), "b", "left_anti").select("a", "b")
 
 
 def variants(rows: DataFrame) -> DataFrame:
