@@ -172,6 +172,7 @@ def place(location: str) -> tuple[str, str]:
     if not m and (k := re.match(r"^(.*\S)\s+([a-z]{2})$", text)):
         town, state = k[1], k[2]
     state = re.sub(r"\d+", "", state)
+    town = re.sub(r"^(?:the\s+)?(?:city|town|township|village|borough|county)\s+of\s+(?=\w)", "", town)
     town = re.sub(r"\b(?:st|saint)\b\.?", "saint", re.sub(r"\bmt\b\.?", "mount", town))
     return re.sub(r"[^\w]|[\d_]", "", town), " ".join(re.findall(r"[^\W\d_]+", state))
 

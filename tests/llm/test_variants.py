@@ -51,6 +51,7 @@ def test_banks():
     at = "Dunomplomouth, Tamberlin"
     for a, b in [("First National Bank of Dunomplomouth", "Frst Nat. Bk of Dunomplomouth"), ("Savings Bank, Dunomplomouth", "The Dunomplomouth Savings Bank"), ("Elsarvgugate_Bank_and_Trust_Company", "Elsarvgugate Bk. & Tr. Co"), ("FNB of Dunomplomouth", "FIRST NATIONAL BANK OF DUNOMPLOMOTUH"), ("Pioneer Trst Company *", "Trust Company, Pioneer")]:
         assert same_bank(a, at, b, "Dunomplomouth, TB"), (a, b)
+    assert same_bank("Peoples Trust Company", at, "Peoples Trust Company", "City of Dunomplomouth, TB")
     assert not same_bank("Peoples Trust Company", at, "Peoples Trust Company", "Elsomshidale, New Arden")
     assert not same_bank("Peoples Trust Company", at, "Pioneer Trust Company", at)
     assert not same_bank("Bank of Dunomplomouth", at, "First National Bank of Dunomplomouth", at)
