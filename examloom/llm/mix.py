@@ -145,7 +145,10 @@ def rates(classes: DataFrame, weights: list[float], total: float) -> list[list[f
 def mix(
     df: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", name: str = "byte_bpe_50k", folder: str = TOKENIZERS
 ) -> tuple[DataFrame, DataFrame]:
-    """(key, source, n_tokens, copies) of every row, and the report (source, target_weight, tokens, share, documents, repeated)."""
+    """(key, source, n_tokens, copies) of every row, and the report (source, target_weight, wanted, tokens, share, residual, documents, repeated).
+
+    wanted: the target among the sources that have documents; residual: what the share is beyond it, so a fit that stopped early shows.
+    """
     wanted = sorted((r.source, float(r.target_weight), int(r.max_repeats or 0)) for r in targets.collect() if r.source is not None and (r.target_weight or 0) > 0 and (r.max_repeats or 0) >= 1)
     labels, weights, caps = [w[0] for w in wanted], [w[1] for w in wanted], [w[2] for w in wanted]
     sized = materialise(sizes(df, key, text, source, name, folder), "sizes")
@@ -183,6 +186,6 @@ def mix(
     named = used.groupBy(source).agg(F.sum("t_").alias("t"), F.count("*").alias("d"), F.sum((F.col("copies") > 1).cast("int")).alias("r"))
     known = {r[source]: r for r in named.where(F.col(source).isin(labels)).collect()} if labels else {}
     grand = sum(map(float, expected)) or 1.0
-    report = [(s, w, float(e), round(float(e) / grand, 9), int(known[s].d) if s in known else 0, int(known[s].r) if s in known else 0) for s, w, e in zip(labels, weights, expected)]
-    schema = f"{source} string, target_weight double, tokens double, share double, documents long, repeated long"
+    report = [(s, w, round(h, 9), float(e), round(float(e) / grand, 9), round(float(e) / grand - h, 9), int(known[s].d) if s in known else 0, int(known[s].r) if s in known else 0) for s, w, h, e in zip(labels, weights, share, expected)]
+    schema = f"{source} string, target_weight double, wanted double, tokens double, share double, residual double, documents long, repeated long"
     return out.drop("p"), df.sparkSession.createDataFrame(report, schema)
