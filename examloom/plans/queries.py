@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from examloom.functions.dates import date_text, parse_date
 from examloom.functions.names import parse_name
 from examloom.operators import compliance, diagnostics, header, mapper, ratings, rejects, subtopics, toc, topics
-from examloom.plans import final
+from examloom.plans import final, twins
 from examloom.session import spread, table
 from examloom.sources import text as sources
 
@@ -49,11 +49,7 @@ def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return final.topic_hits(_docs(spark, sf_dir), _label_map(spark, sf_dir))
 
 
-# SQL fragments: texts with unified line ends, and their lines as files are read
-_UNIFIED = "replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
-_LINES = f"""texts AS (SELECT doc_id, text, {_UNIFIED} AS t FROM documents WHERE text <> ''),
-    arrays AS (SELECT doc_id, string_split(CASE WHEN t LIKE '%' || chr(10) THEN left(t, length(t) - 1) ELSE t END, chr(10)) AS ls, t LIKE '%' || chr(10) AS closed FROM texts),
-    lines AS (SELECT doc_id, closed, len(ls) AS n, unnest(ls) AS line, generate_subscripts(ls, 1) AS no FROM arrays)"""
+_LINES = twins.LINES
 
 
 @query(f"""WITH {_LINES} SELECT doc_id, no::INT AS line_no, (length(line) + CASE WHEN no < n OR closed THEN 1 ELSE 0 END)::INT AS length FROM lines""")
@@ -124,28 +120,27 @@ _TOC = f"""{_LINES}, l0 AS (SELECT doc_id, no - 1 AS line_no, line FROM lines),
 
 @query(f"WITH {_TOC} SELECT doc_id, line_no, topic, topic_formatted, CASE WHEN sure THEN 'OK' ELSE 'Unsure' END AS flag FROM entries")
 def toc_detail(spark, sf_dir):
-    """Entries up to the closing line, without the search for repetitions."""
-    return toc.toc_detail(toc.toc_entries(_docs(spark, sf_dir), extended=False))
+    return toc.toc_detail(toc.toc_entries(_docs(spark, sf_dir)))
 
 
 @query(f"WITH {_TOC} SELECT d.doc_id, count(e.doc_id)::BIGINT AS toc_count FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN entries e USING (doc_id) GROUP BY 1")
 def toc_summary(spark, sf_dir):
     docs = _docs(spark, sf_dir)
-    return toc.toc_summary(docs, toc.toc_entries(docs, extended=False))
+    return toc.toc_summary(docs, toc.toc_entries(docs))
 
 
 @query(f"WITH {_TOC} SELECT DISTINCT topic_formatted, CASE WHEN sure THEN 'OK' ELSE 'Unsure' END AS flag FROM entries")
 def toc_distinct(spark, sf_dir):
-    return toc.toc_distinct(toc.toc_entries(_docs(spark, sf_dir), extended=False))
+    return toc.toc_distinct(toc.toc_entries(_docs(spark, sf_dir)))
 
 
-@query()
-def toc_extended(spark, sf_dir):
-    """Entries with the search for repetitions after the fifth doubtful one."""
-    return toc.toc_detail(toc.toc_entries(_docs(spark, sf_dir)))
+@query(f"WITH {_TOC} SELECT doc_id, line_no, topic, topic_formatted, CASE WHEN sure THEN 'OK' ELSE 'Unsure' END AS flag FROM entries")
+def toc_plain(spark, sf_dir):
+    """Entries up to the fifth doubtful one, without the search for repetitions."""
+    return toc.toc_detail(toc.toc_entries(_docs(spark, sf_dir), extended=False))
 
 
-@query()
+@query(twins.ANALYSIS)
 def entry_analysis(spark, sf_dir):
     return table(spark, sf_dir, "extract_toc").select("toc_id", toc.analyze(F.col("topic")).alias("a")).select("toc_id", "a.*")
 
@@ -185,7 +180,12 @@ def topic_texts(spark, sf_dir):
     return topics.topic_texts(_docs(spark, sf_dir), _hits(spark, sf_dir)).select("doc_id", "topic", "topic_text")
 
 
-@query()
+_TEXTS = f"""{_HITS}, spans AS (SELECT *, lead(line_idx) OVER (PARTITION BY doc_id ORDER BY line_idx) AS end_idx FROM hits),
+    latest AS (SELECT doc_id, topic, max(line_idx) AS line_idx, arg_max(coalesce(end_idx, 2147483647), line_idx) AS end_idx FROM spans GROUP BY 1, 2),
+    found AS (SELECT l.doc_id, l.topic, replace(array_to_string(a.ls[l.line_idx + 1:l.end_idx], chr(13) || chr(10)), chr(12), '') AS topic_text FROM latest l JOIN arrays a USING (doc_id))"""
+
+
+@query(f"WITH RECURSIVE {_TEXTS}, {twins.PACKED}")
 def topic_cells(spark, sf_dir):
     """Topic texts in cells of at most 32,000 characters."""
     return topics.split_cells(topics.topic_texts(_docs(spark, sf_dir), _hits(spark, sf_dir)))
@@ -212,17 +212,17 @@ def exam_dates(spark, sf_dir):
     return table(spark, sf_dir, "get_headers_v1").select("serial_no", date_text(d).alias("start_date"), F.year(d).alias("y"), F.month(d).alias("m"))
 
 
-@query()
+@query(f"WITH {twins.name_of('get_headers_v1', 'examiner_in_charge')} SELECT serial_no, first_ AS first, middle_ AS middle, last_ AS last, suffix FROM person")
 def examiner_names(spark, sf_dir):
     return table(spark, sf_dir, "get_headers_v1").select("serial_no", parse_name(F.col("examiner_in_charge")).alias("n")).select("serial_no", "n.*")
 
 
-@query()
+@query(f"WITH {twins.header()} SELECT * FROM header")
 def header_fields(spark, sf_dir):
     return header.header_fields(_docs(spark, sf_dir))
 
 
-@query()
+@query(f"WITH {twins.BLOCK} SELECT * FROM block")
 def region_blocks(spark, sf_dir):
     return header.region_block(_docs(spark, sf_dir))
 
@@ -253,7 +253,7 @@ def mapped_ratings(spark, sf_dir):
     return ratings.map_ratings(ratings.rating_tables(_docs(spark, sf_dir)), named)
 
 
-@query()
+@query(f"WITH {_TABLE} SELECT DISTINCT {twins.title('rating_name')} AS rating_name FROM tab")
 def rating_names(spark, sf_dir):
     return ratings.rating_names(ratings.rating_tables(_docs(spark, sf_dir)))
 
@@ -264,23 +264,50 @@ def text_ratings(spark, sf_dir):
     return ratings.text_ratings(_docs(spark, sf_dir), _ratings_map(spark, sf_dir))
 
 
-@query()
+_MAPPED = f"{_TABLE}, {twins.MAPPED}"
+_RATED = f"{_MAPPED}, {twins.RATED}"
+
+
+def _long(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, column, value): one row for each cell of a wide table, so that SQL needn't know its columns."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in df.columns if c not in keys])
+    return df.select(*keys, F.inline(cells))
+
+
+@query(f"WITH {_RATED} {twins.RATED_CELLS}")
 def rating_columns(spark, sf_dir):
+    """The five columns of each rating, cell by cell."""
     docs, names = _docs(spark, sf_dir), _ratings_map(spark, sf_dir)
     mapped = ratings.map_ratings(ratings.rating_tables(docs), names.select(ratings.title(F.col("name")).alias("name"), "canonical"))
-    return ratings.rating_columns(docs, mapped, ratings.text_ratings(docs, names), _names(names, "canonical"))
+    return _long(ratings.rating_columns(docs, mapped, ratings.text_ratings(docs, names), _names(names, "canonical")), ["doc_id"])
 
 
-@query()
+@query(f"WITH {_MAPPED}, {twins.IMPROVED}")
 def rating_improvement(spark, sf_dir):
     docs, names = _docs(spark, sf_dir), _ratings_map(spark, sf_dir)
     mapped = ratings.map_ratings(ratings.rating_tables(docs), names.select(ratings.title(F.col("name")).alias("name"), "canonical"))
     return ratings.improvement(docs, mapped, ratings.text_ratings(docs, names))
 
 
-@query()
+def _spoken_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small report for each row of a rating table, with the rating in running text."""
+    return table(spark, sf_dir, "get_ratings").selectExpr("rating_id AS doc_id", "concat('Ratings\\n', rating_name, ' - ', current_rating, '\\nComponent Ratings: ', current_rating, '-', prior_rating, '-1-2-3-4\\nend') AS text")
+
+
+@query(twins.SPOKEN_ROWS)
+def spoken_ratings(spark, sf_dir):
+    return ratings.text_ratings(_spoken_docs(spark, sf_dir), _ratings_map(spark, sf_dir))
+
+
+@query(twins.COMPONENTS)
 def component_ratings(spark, sf_dir):
-    return ratings.component_ratings(_docs(spark, sf_dir))
+    found = ratings.component_ratings(_spoken_docs(spark, sf_dir))
+    return found.select("doc_id", F.array_join("component", "-").alias("component"), F.array_join("roca", "-").alias("roca"))
+
+
+@query(f"SELECT count(*) AS n FROM ({twins.COMPONENTS}) WHERE component <> ''")
+def rated_documents(spark, sf_dir):
+    return ratings.rated_documents(ratings.component_ratings(_spoken_docs(spark, sf_dir)))
 
 
 @query("""SELECT doc_id, coalesce(regexp_matches(upper(text), 'PART\\s+309\\s+OF\\s+(THE\\s+)?(FDIC|FEDERAL\\s+DEPOSIT\\s+INSURANCE\\s+CORPORATION)'), false) AS has_part_309 FROM documents""")
@@ -345,6 +372,12 @@ def final_table(spark, sf_dir):
     return entry(spark, sf_dir)
 
 
+@query(f"WITH {twins.header()}, {_RATED.removeprefix(_LINES + ', ')}, {_TEXTS.removeprefix(_LINES + ', ')}, {twins.FINAL_CELLS}")
+def final_cells(spark, sf_dir):
+    """The final table cell by cell."""
+    return _long(entry(spark, sf_dir), ["serial_no", "file_name"])
+
+
 @query()
 def final_records(spark, sf_dir):
     """The final table as delimited records."""
