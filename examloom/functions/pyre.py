@@ -64,6 +64,11 @@ def is_title(c: Column) -> Column:
     return (title(c) == c) & c.rlike(r"\p{L}")
 
 
+def is_heading(c: Column) -> Column:
+    """Whether all words are in capitals or begin with one."""
+    return F.forall(F.split(c, f"[^{_CLASSES['w']}]+"), lambda w: is_upper(w) | is_title(w))
+
+
 def let(value: Column, f) -> Column:
     """f(value) with the value computed once, however often f uses it."""
     return F.get(F.transform(F.array(value), f), F.lit(0))

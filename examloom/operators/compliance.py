@@ -30,3 +30,9 @@ def part_309(docs: DataFrame, key: str = "doc_id", text: str = "text", before: i
 def without_part_309(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents without the wording."""
     return part_309(docs, key, text).where("NOT has_part_309").select(key)
+
+
+def exceptions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, reason) of the documents that a final table should be looked at for: no text, or none of the required wording."""
+    found = part_309(docs, key, text).join(docs.select(key, F.coalesce(F.trim(text), F.lit("")).eqNullSafe("").alias("empty")), key)
+    return found.where("NOT has_part_309").select(key, F.when(F.col("empty"), "no text").otherwise("no required wording").alias("reason"))

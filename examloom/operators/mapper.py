@@ -34,6 +34,11 @@ class Mapper:
         labels = F.array(*map(F.lit, self.labels))
         return scored.select("name", F.get(labels, F.col("prediction").cast("int")).alias("topic"), F.array_max(p).alias("score"))
 
+    def outstanding(self, names: DataFrame, least: float = 2.0) -> DataFrame:
+        """(name) → (name, topic, ratio): the likeliest class where its probability is more than `least` times the mean of all classes; null otherwise."""
+        guessed = self.guess(names).withColumn("ratio", F.col("score") * F.lit(float(len(self.labels))))  # probabilities sum to 1
+        return guessed.select("name", F.when(F.col("ratio") > least, F.col("topic")).alias("topic"), "ratio")
+
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
         self.label_map.write.mode("overwrite").parquet(f"{path}/label_map")
@@ -90,5 +95,12 @@ def training_report(mapper: Mapper) -> DataFrame:
     return df.select("topic", "support", precision.alias("precision"), recall.alias("recall"), F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0)).alias("f1"))
 
 
+def training_mismatches(mapper: Mapper) -> DataFrame:
+    """(text, topic, guess): rows of the map that the classifier gives another topic."""
+    rows = mapper.label_map.where("topic > '' AND text IS NOT NULL")
+    guess = mapper.guess(rows.select(F.col("text").alias("name"))).select(F.col("name").alias("text"), F.col("topic").alias("guess"))
+    return rows.join(guess, "text").where("topic <> guess").select("text", "topic", "guess")
+
+
 def dump_label_map(mapper: Mapper) -> DataFrame:
     return mapper.label_map.select(F.col("text").alias("topic_formatted"), F.lit("OK").alias("flag"), F.col("topic").alias("canonical_topic")).orderBy(F.lower("topic_formatted"))

@@ -47,7 +47,7 @@ def extracted(docs: DataFrame, key: str, text: str, counted: bool) -> DataFrame:
     t = F.col(text)
     # texts without what every contents or table holds aren't cut into lines for it
     table = F.when(ratings.has_table(t), lines(t, ratings.table_rows))
-    found = F.when(has_contents(t), lines(t, contents)) if counted else F.lit(None).cast("array<int>")
+    found = F.when(has_contents(t), lines(t, lambda ls: contents(ls))) if counted else F.lit(None).cast("array<int>")
     df = docs.select(
         key, "file_name", header.fields(F.when(t.rlike(header.ANY), t).otherwise("")).alias("header_"), table.alias("table"), lines(t, ratings.named_values).alias("spoken"),
         F.when(F.contains(t, F.lit("\f")), topics.heads(t)).alias("heads"), F.greatest(F.size(found), F.lit(0)).alias("toc_count"),

@@ -362,6 +362,61 @@ def new_topics_forest(spark, sf_dir):
     return out.groupBy("kind", "topic").agg(F.count("*").alias("n"))
 
 
+@query()
+def training_mismatches(spark, sf_dir):
+    return mapper.training_mismatches(mapper.train(_curated(spark, sf_dir)))
+
+
+@query()
+def outstanding_topics(spark, sf_dir):
+    """Guesses far above the mean of all classes, for the distinct entries."""
+    return mapper.train(_curated(spark, sf_dir)).outstanding(table(spark, sf_dir, "extract_toc").selectExpr("topic AS name"))
+
+
+@query("""SELECT doc_id, CASE WHEN trim(coalesce(text, ''), ' ') = '' THEN 'no text' ELSE 'no required wording' END AS reason FROM documents
+    WHERE NOT coalesce(regexp_matches(upper(text), 'PART\\s+309\\s+OF\\s+(THE\\s+)?(FDIC|FEDERAL\\s+DEPOSIT\\s+INSURANCE\\s+CORPORATION)'), false)""")
+def exceptions(spark, sf_dir):
+    return compliance.exceptions(_docs(spark, sf_dir))
+
+
+def _sectioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report for each topic cell, with the topic's name as a heading inside one section."""
+    cells = table(spark, sf_dir, "get_headers").where("topic_text <> ''")
+    return cells.selectExpr("topic_id AS doc_id", "file_name", "concat(char(12), 'Summary of Examination Findings\\n', topic, '\\n', topic_text) AS text")
+
+
+@query()
+def subtopic_headings(spark, sf_dir):
+    """Sub-topics found in sections that hold some, by normal form."""
+    docs = _sectioned(spark, sf_dir)
+    found = subtopics.subtopics(docs, final.topic_hits(docs, _label_map(spark, sf_dir)), "Summary of Examination Findings")
+    return subtopics.subtopic_summary(found).select("normalized", F.array_join("headings", "|").alias("headings"))
+
+
+def _subtopic_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _label_map(spark, sf_dir).select("ord", subtopics.normal_form(F.col("text")).alias("text"), "topic")
+
+
+@query()
+def new_subtopics(spark, sf_dir):
+    """Headings that only the classifier gives a class, over character n-grams of their normal forms."""
+    docs, known = _sectioned(spark, sf_dir), _subtopic_map(spark, sf_dir)
+    found = subtopics.subtopics(docs, final.topic_hits(docs, _label_map(spark, sf_dir)), "Summary of Examination Findings")
+    out = subtopics.resolve_subtopics(found.where(F.col("heading") != subtopics.START).select(F.col("heading").alias("name")), known, mapper.train(known, "lr", "chars").guess)
+    return out.where("kind = 'guess'").select("name", "class", "score")
+
+
+@query()
+def final_table_with_subtopics(spark, sf_dir):
+    """The final table with guessed topics, four pieces a topic, and columns of sub-topics in the place of one topic."""
+    labels, names, known = _label_map(spark, sf_dir), _ratings_map(spark, sf_dir), _subtopic_map(spark, sf_dir)
+    classes = _names(labels, "topic")
+    within = final.SubtopicColumns("Summary of Examination Findings", known, classes, mapper.train(known, "lr", "chars").guess)
+    guess = mapper.train(_curated(spark, sf_dir)).guess
+    titled = names.select(ratings.title(F.col("name")).alias("name"), "canonical")
+    return final.final_table(_docs(spark, sf_dir), labels, titled, classes, _names(names, "canonical"), guess, 4, within=within)
+
+
 @query()
 def training_report(spark, sf_dir):
     return mapper.training_report(mapper.train(_curated(spark, sf_dir)))
@@ -390,7 +445,7 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return final.final_table(docs, labels, titled, _names(labels, "topic"), _names(names, "canonical"))
 
 
-@query()
+@query(f"WITH {twins.RECORDS} SELECT r.raw_id FROM raw_records r LEFT JOIN judged j USING (raw_id) WHERE NOT coalesce(j.good, false)")
 def p3_found(spark, sf_dir):
     return p3_rejected(spark, sf_dir).select("raw_id")
 
@@ -405,7 +460,13 @@ def p3_typed_headers(spark, sf_dir):
     return rejects.typed(rejects.load_records(spread(table(spark, sf_dir, "raw_records"))), "headers")
 
 
-@query()
+@query(f"""WITH {twins.RECORDS}, typed AS ({twins.TYPED_HEADERS}) SELECT raw_id, "column", value FROM (SELECT raw_id, COLUMNS(* EXCLUDE (raw_id))::VARCHAR FROM typed) UNPIVOT INCLUDE NULLS (value FOR "column" IN (* EXCLUDE (raw_id)))""")
+def p3_typed_header_cells(spark, sf_dir):
+    """The typed headers cell by cell."""
+    return _long(p3_typed_headers(spark, sf_dir), ["raw_id"])
+
+
+@query(f"WITH {twins.RECORDS} {twins.TYPED_TOPICS}")
 def p3_typed_topics(spark, sf_dir):
     return rejects.typed(rejects.load_records(spread(table(spark, sf_dir, "raw_records"))), "topics")
 

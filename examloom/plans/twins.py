@@ -160,3 +160,23 @@ FINAL_CELLS = """serial AS (SELECT doc_id, file_name, row_number() OVER (ORDER B
         UNION ALL SELECT doc_id, replace(canonical || ' ' || "column", ' ', '_'), value FROM rated UNPIVOT (value FOR "column" IN (current, from_headers_current, from_table_current, prior, prior_prior))
         UNION ALL SELECT d.doc_id, replace(replace(replace(replace(n.topic, '-', ' '), '/', ' '), chr(39), ''), ' ', '_'), f.topic_text FROM documents d CROSS JOIN names n LEFT JOIN found f ON f.doc_id = d.doc_id AND f.topic = n.topic)
     SELECT s.serial_no, s.file_name, c."column", c.value FROM cells c JOIN serial s USING (doc_id)"""
+
+# Records: fields cut by their own delimiter, one character, after the quoting of the whole line is tested
+_BARE = r"""'[^"\r\n' || CASE WHEN fd IN ('|', '~', ',') THEN fd ELSE '\' || fd END || ']*'"""
+_FIELD = f"""'(?:"(?:[^"]|"")*"|' || {_BARE} || ')'"""
+_BLANK = r"'[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]*'"
+_DATE = r"(v[{0}] = '' OR regexp_full_match(v[{0}], '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}') AND try_strptime(v[{0}], '%m/%d/%Y') IS NOT NULL)"
+_HEADERS = " AND ".join(_DATE.format(k) for k in (10, 13)) + "".join(rf" AND regexp_full_match(v[{k}], '([0-9]{{4}})?') AND regexp_full_match(v[{k + 1}], '(0?[1-9]|1[0-2])?')" for k in (11, 14))
+RECORDS = rf"""cut AS (SELECT raw_id, layout, regexp_full_match(line, '(?s)' || {_FIELD} || '(?:[' || fd || ']' || {_FIELD} || ')*') AS quoted,
+        regexp_extract_all(line || fd, '(?s)(' || {_FIELD} || ')[' || fd || ']', 1) AS f FROM raw_records WHERE line <> ''),
+    vals AS (SELECT raw_id, layout, quoted AND len(f) = CASE layout WHEN 'headers' THEN 15 ELSE 4 END AS whole, list_transform(f, lambda x: CASE WHEN x LIKE '"%' THEN replace(x[2:-2], '""', '"') ELSE x END) AS v FROM cut),
+    judged AS (SELECT *, whole AND regexp_full_match(v[1], '0*[1-9][0-9]*') AND NOT regexp_matches(v[2], '[/\\\x00-\x1f\x7f-\x{{9f}}]') AND regexp_full_match(v[2], '(?s).*\S.*\.[tT][xX][tT]')
+        AND CASE layout WHEN 'headers' THEN {_HEADERS} ELSE NOT regexp_full_match(v[4], {_BLANK}) AND NOT regexp_matches(v[4], '[\x00-\x08\x0b\x0e-\x1f\x7f\x{{80}}-\x{{9f}}]') END AS good FROM vals)"""
+_TEXT = "nullif(v[{}], '') AS {}"
+TYPED_TOPICS = f"""SELECT raw_id, TRY_CAST(v[1] AS BIGINT) AS serial_no, {', '.join(_TEXT.format(k + 2, c) for k, c in enumerate(('file_name', 'topic', 'topic_text')))},
+    CASE WHEN TRY_CAST(v[1] AS BIGINT) IS NULL THEN v[1] END AS serial_digits FROM judged WHERE good AND layout = 'topics'"""
+_NAMES = ["file_name", "region", "certificate_number", "bank_name", "bank_location", "examiner_in_charge_first_name", "examiner_in_charge_middle_name", "examiner_in_charge_last_name"]
+_WHEN = [(10, "exam_start"), (13, "exam_as_of")]
+TYPED_HEADERS = f"""SELECT raw_id, TRY_CAST(v[1] AS BIGINT) AS serial_no, {', '.join(_TEXT.format(k + 2, c) for k, c in enumerate(_NAMES))},
+    {', '.join(f"try_strptime(v[{k}], '%m/%d/%Y')::DATE AS {c}_date, TRY_CAST(v[{k + 1}] AS INT) AS {c}_year, TRY_CAST(v[{k + 2}] AS INT) AS {c}_month" for k, c in _WHEN)},
+    CASE WHEN TRY_CAST(v[1] AS BIGINT) IS NULL THEN v[1] END AS serial_digits FROM judged WHERE good AND layout = 'headers'"""

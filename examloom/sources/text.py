@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +56,22 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str], sep: str
     return spark.read.csv(path, schema=schema, sep=sep, quote='"', escape='"', multiLine=True, header=False)
 
 
+def ragged(texts: DataFrame, key: str = "path", text: str = "text", sep: str = ",") -> DataFrame:
+    """(key, row_no from 1, fields): records of any number of fields, with quotes and line breaks inside them; empty lines are none.
+
+    One text is read by one csv reader in an Arrow batch, as records can't be cut apart without reading those before.
+    """
+    kind = texts.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        csv.field_size_limit(2**31 - 1)
+        for pdf in batches:
+            rows = [(k, i, r) for k, t in zip(pdf[key], pdf["t_"]) if t for i, r in enumerate(filter(None, csv.reader(io.StringIO(t, newline=""), delimiter=sep)), 1)]
+            yield pd.DataFrame(rows, columns=[key, "row_no", "fields"])
+
+    return texts.select(key, F.col(text).alias("t_")).mapInPandas(run, f"{key} {kind}, row_no int, fields array<string>")
+
+
 def quoted(value: Column, sep: str) -> Column:
     """Minimal quoting; null is empty."""
     v = F.coalesce(value.cast("string"), F.lit(""))

@@ -1,9 +1,12 @@
 """Operators over small reports, files and streams."""
 
+import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from examloom.functions.pyre import is_heading
 from examloom.operators import compliance, diagnostics, header, mapper, ratings, subtopics, toc, topics
 from examloom.plans import final
 from examloom.sources import text as sources
@@ -133,6 +136,9 @@ def test_classifiers(spark, labels, tmp_path):
     for algorithm, features in (("lr", "words"), ("rf", "words"), ("lr", "chars")):
         m = mapper.train(train, algorithm, features)
         assert {r.name: r.topic for r in m.guess(probe).collect()} == {"capital adequacy and more": "Capital Adequacy", "wire transfers controls": "Wire Transfer Controls"}
+    assert mapper.training_mismatches(m).count() == 0
+    far = {r.name: (r.topic, r.ratio > 2) for r in m.outstanding(probe).collect()}
+    assert far["capital adequacy and more"] == ("Capital Adequacy", True)
     m.save(str(tmp_path / "model"))
     assert mapper.load(spark, str(tmp_path / "model")).guess(probe).count() == 2
     with pytest.raises(ValueError):
@@ -148,3 +154,36 @@ def test_replicated(spark):
     for n in filter(None, names):
         assert n[0] == "a" and n.endswith(".txt") and n[1] in "023456789" and n[2] in "013456789"
     assert sources.replicated(df, 0).count() == 0
+
+
+def test_final_table_with_subtopics(spark, docs, labels, names):
+    known = spark.createDataFrame([(1, "internal controls", "Controls"), (2, "wires", "Wires")], "ord long, text string, topic string")
+    within = final.SubtopicColumns("Capital Adequacy", known, ["Controls", "Wires"], None)
+    df = final.final_table(docs, labels, names, ["Asset Quality Review", "Capital Adequacy"], ["Capital"], split=2, within=within)
+    row = {r.file_name + str(r.serial_no): r.asDict() for r in df.collect()}["a.txt1"]
+    assert "Capital_Adequacy_1" not in row and row["Capital_Adequacy_Wires"] is None
+    assert json.loads(row["Capital_Adequacy_Controls"])["Internal Controls"].startswith("Controls text.")
+    assert row["Asset_Quality_Review_1"].startswith("ASSET QUALITY REVIEW")
+
+
+def test_subtopic_classes(spark):
+    known = spark.createDataFrame([(1, "internal controls", "Controls"), (2, "internal controls", "Audit"), (3, "wires", "wires")], "ord long, text string, topic string")
+    heads = spark.createDataFrame([("Internal Controls",), ("1. INTERNAL Controls",), ("Wires",), ("Other Thing",), (None,)], "name string")
+    got = {r.name: (r["class"], r.kind) for r in subtopics.resolve_subtopics(heads, known).collect()}
+    assert got == {"Internal Controls": ("Audit", "actual"), "1. INTERNAL Controls": ("Audit", "actual"), "Wires": ("wires", "actual"), "Other Thing": (None, "guess")}
+    guessed = subtopics.resolve_subtopics(heads, known, lambda n: n.selectExpr("name", "'Wires' AS topic", "0.5D AS score")).where("kind = 'guess'").collect()
+    assert [(r.name, r["class"], r.score) for r in guessed] == [("Other Thing", "Wires", 0.5)]
+
+
+def test_ragged_records(spark):
+    df = spark.createDataFrame([("a", 'x,"y ""z""\nw"\n\n1,2,3\r\n'), ("b", None), ("c", "")], "path string, text string")
+    got = [(r.path, r.row_no, r.fields) for r in sources.ragged(df).orderBy("row_no").collect()]
+    assert got == [("a", 1, ["x", 'y "z"\nw']), ("a", 2, ["1", "2", "3"])]
+
+
+def test_exceptions_and_headings(spark, docs):
+    assert {r.doc_id: r.reason for r in compliance.exceptions(docs).collect()} == {2: "no text", 3: "no text", 4: "no required wording", 5: "no required wording"}
+    texts = ["Internal Audit", "IT AUDIT", "the Audit", "Audit."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", is_heading(F.col("t")).alias("h")).orderBy("i")
+    assert [r.h for r in df.collect()] == [True, True, False, False]
+    assert ratings.rated_documents(ratings.component_ratings(docs)).first().n == 1
