@@ -357,7 +357,7 @@ def neighbours(words: DataFrame) -> DataFrame:
             found = [(form, w) for w in pdf["word"] for form in deletes(w[:WINDOW], _slips(w))]
             yield pd.DataFrame(found, columns=["form", "word"])
 
-    forms = _spread(words).mapInPandas(index, "form string, word string")
+    forms = materialise(_spread(words).mapInPandas(index, "form string, word string"), "deleted")
     return forms.join(forms.withColumnRenamed("word", "near"), "form").select("word", "near").distinct()
 
 
