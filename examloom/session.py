@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
@@ -41,10 +42,26 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_WRITTEN: set[str] = set()
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    """Deletes what an application has written, at its end; one that is killed leaves its folder, named by the application's id."""
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001 the context may be gone
+        pass
+
+
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors. Kept until the driver ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    if folder not in _WRITTEN:
+        _WRITTEN.add(folder)
+        atexit.register(_delete, spark, folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
