@@ -1,4 +1,4 @@
-"""Mapping freely entered names to a reference list, in SQL only.
+"""Mapping freely entered names to a reference list, in SQL; only the list's unique prefixes are cut on the driver.
 
 A partition-based pigeonhole join: every reference string is cut into k + 1 segments, and a string within k edits must hold
 one of them unchanged near its place, so names are joined to segments by equality of positional substrings and only those
@@ -8,7 +8,7 @@ Before that a name is folded: case, leaders with page numbers, numbering, traces
 line-end hyphens, punctuation, introductory and closing words, stop words, and abbreviations (a fixed table, and prefixes
 of three letters or more that only one word of the reference list has). Words are compared in their order and sorted.
 
-Each distinct name is resolved once. The reference list is small by nature; `bounded` refuses one of over 100,000 entries.
+Each distinct name is resolved once. The reference list is small by nature; reference_forms() refuses one of over 100,000 entries.
 
 Defined results: null and empty names, and those equal to a reference name, are no cases; a name without letters means none;
 of several entries at the same distance the one with the lowest id is taken. Repeated rows have the same entry.
