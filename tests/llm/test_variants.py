@@ -115,3 +115,16 @@ def test_edges(spark):
     got = sorted((r.entity, r.serial_a, r.serial_b) for r in V.variants(df).collect())
     assert got == [("bank", 1, 2), ("bank", 2, 5), ("examiner", 1, 5), ("examiner", 2, 5)]
     assert V.variants(df.limit(0)).count() == 0
+
+
+def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
+    """The planner takes the deleted forms, some hundred times the words, for as small as the words."""
+    plans = []
+
+    def kept(df, name="table", write=V.materialise):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(V, "materialise", kept)
+    kept(V.variants(table(spark, "/root/testdata/sf0.01", "get_headers_v1")))
+    assert len(plans) > 7 and not [p for p in plans if "Broadcast" in p]
