@@ -14,9 +14,10 @@ misreading of one.
 
 Slips of typing have no path through the channel, so they stay. Wrong encoding alone doesn't count.
 
-Counts are taken over all rows, by keys of 64 bits that are kept, so no word answers for another. Sent to the workers are the words
+Counts are taken over all rows, by keys of 64 bits that are kept, so no word answers for another. Stored for the workers are the words
 with a letter, the other words seen twice or more, and the pairs of words seen twice or more: a word seen once stands in one pair
-before and one after it, those of its own place, so what is left out is known to be 1 there and 0 elsewhere.
+before and one after it, those of its own place, so what is left out is known to be 1 there and 0 elsewhere. Workers write the counts as
+files of the shared folder, in parts, and map these into memory, so neither the driver nor a worker's own memory holds them.
 
 Defined results: null, empty and blank texts hold no noise and stay. Repeated rows are treated alike; other columns are dropped.
 """
@@ -25,21 +26,27 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import re
+import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from examloom.session import materialise
+from examloom.session import materialise, scratch
 
-FLUSH = 300_000
-CACHE = 400_000
+#: Pairs of words that a worker counts before it hands them on, and entries of each of its caches: two workers share what an executor has beside its heap.
+FLUSH, CACHE = 200_000, 100_000
 MASK, SIGN = (1 << 64) - 1, 1 << 63
+#: Keys of a part of the stored counts, at most about so many; the bits of a key from which its part is taken, above those that find its slot.
+PART, PART_BITS = 2_000_000, 40
 
 # What is seen, what was printed, and the first guess of how often.
 CONFUSIONS = [
@@ -94,6 +101,15 @@ class Counts:
             rest = self.keys[at] != keys[left]
             left, at = left[rest], (at[rest] + 1) & self.mask
 
+    @classmethod
+    def mapped(cls, path: str) -> Counts:
+        """Those of a file: the keys of all slots, then the counts."""
+        found, slots = cls.__new__(cls), os.path.getsize(path) // 12
+        found.mask = slots - 1
+        found.keys = np.memmap(path, np.int64, "r", shape=(slots,)).view(np.ndarray)
+        found.n = np.memmap(path, np.float32, "r", offset=8 * slots, shape=(slots,)).view(np.ndarray)
+        return found
+
     def __getitem__(self, key: int) -> float:
         at = key & self.mask
         while found := self.keys.item(at):
@@ -103,6 +119,64 @@ class Counts:
         return 0.0
 
 
+def _filesystem(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    return pyarrow.fs.FileSystem.from_uri(folder)
+
+
+class Stored:
+    """Counts in files of a shared folder, one for each of its parts but the empty ones, opened when first asked."""
+
+    def __init__(self, folder: str, parts: int, full: frozenset[int]):
+        self.folder, self.last, self.full = folder, parts - 1, full
+        self.opened: dict[int, Counts] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"opened": {}}
+
+    def __getitem__(self, key: int) -> float:
+        part = key >> PART_BITS & self.last
+        found = self.opened.get(part)
+        if found is None:
+            found = self.opened[part] = self._open(part)
+        return found[key]
+
+    def _open(self, part: int) -> Counts:
+        if part not in self.full:
+            return Counts(np.zeros(0, dtype=np.int64), np.zeros(0))
+        files, folder = _filesystem(self.folder)
+        if isinstance(files, pyarrow.fs.LocalFileSystem):
+            return Counts.mapped(f"{folder}/{part}")
+        # from elsewhere a copy; its name goes at once, the file with the last process that has it open
+        handle, path = tempfile.mkstemp()
+        try:
+            with os.fdopen(handle, "wb") as to, files.open_input_stream(f"{folder}/{part}") as source:
+                while block := source.read(1 << 24):
+                    to.write(block)
+            return Counts.mapped(path)
+        finally:
+            os.unlink(path)
+
+
+def stored(rows: DataFrame, most: int) -> Stored:
+    """The counts of different keys (key, n), of which there are at most so many."""
+    parts, folder = 1 << max(3, (most // PART).bit_length()), scratch(rows.sparkSession, "counts")
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        part, counts = int(pdf["part"].iloc[0]), Counts(pdf["key"].to_numpy(), pdf["n"].to_numpy())
+        files, to = _filesystem(folder)
+        files.create_dir(to, recursive=True)
+        own = f"{to}/.{part}-{uuid.uuid4().hex}"  # a task may run twice
+        with files.open_output_stream(own) as out:
+            out.write(memoryview(counts.keys).cast("B"))
+            out.write(memoryview(counts.n).cast("B"))
+        files.move(own, f"{to}/{part}")
+        return pd.DataFrame({"part": [part]})
+
+    part = F.shiftright("key", PART_BITS).bitwiseAND(F.lit(parts - 1)).cast("int")
+    full = rows.select("key", "n", part.alias("part")).groupBy("part").applyInPandas(write, "part int").collect()
+    return Stored(folder, parts, frozenset(r.part for r in full))
+
+
 def _core(word: str) -> str:
     return word.strip(EDGES).lower()
 
@@ -111,7 +185,7 @@ class Channel:
     """Corpus counts, confusion probabilities, and decoding. longest: letters of the longest word that others may be misread from;
     top: count of the most frequent word of six letters or more."""
 
-    def __init__(self, uni: Counts, bi: Counts, total: float, longest: int = 40, top: float = 0.0, odds: list[float] | None = None):
+    def __init__(self, uni: Counts | Stored, bi: Counts | Stored, total: float, longest: int = 40, top: float = 0.0, odds: list[float] | None = None):
         self.uni, self.bi, self.total, self.longest, self.top = uni, bi, max(total, 1.0), longest, top
         self.odds = odds or [p for _, _, p in CONFUSIONS]
         self.confusions = {(seen, true): (k, math.log(p)) for k, ((seen, true, _), p) in enumerate(zip(CONFUSIONS, self.odds))}
@@ -437,9 +511,9 @@ def train(texts: DataFrame) -> Channel:
                 words = t.split()
                 raw_uni.update(words)
                 raw_bi.update(pairwise(words))
-            if len(raw_bi) > FLUSH:
-                fold()
-                yield out()
+                if len(raw_bi) > FLUSH:
+                    fold()
+                    yield out()
         fold()
         yield out()
 
@@ -448,15 +522,21 @@ def train(texts: DataFrame) -> Channel:
     words, pairs = counted.where("b = 0"), counted.where("b <> 0")
     got = words.where(F.col("a") != _key("")).agg(F.sum("n"), F.max(F.when(F.col("n") >= 8, F.length("word"))), F.max(F.when(F.length("word") >= 6, F.col("n")))).first()
     total, longest, top = got[0] or 0.0, got[1] or 0, got[2] or 0.0
-    for side in "ab":
-        pairs = pairs.join(words.where("n = 1").select(F.col("a").alias(side)), side, "left_anti")
-    uni = words.where((F.col("a") != _key("")) & (F.col("word").isNotNull() | (F.col("n") > 1))).select("a", "n").toArrow()
-    bi = pairs.select("a", "b", "n").toArrow()
-    a, b = (bi[x].to_numpy().astype(np.int64).view(np.uint64) for x in "ab")
-    x = (a * np.uint64(0x9E3779B97F4A7C15) ^ b) * np.uint64(0xC2B2AE3D27D4EB4F)
-    x = (x ^ x >> np.uint64(32)).view(np.int64)
-    x[x == 0] = 1
-    channel = Channel(Counts(uni["a"].to_numpy(), uni["n"].to_numpy()), Counts(x, bi["n"].to_numpy()), total, longest, top)
+    most = counted.count()
+    for side in "ab":  # by merging: read from compressed files, they are taken for smaller than they are
+        pairs = pairs.join(words.where("n = 1").select(F.col("a").alias(side)).hint("merge"), side, "left_anti")
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            a, b = (pdf[x].to_numpy().view(np.uint64) for x in "ab")
+            x = (a * np.uint64(0x9E3779B97F4A7C15) ^ b) * np.uint64(0xC2B2AE3D27D4EB4F)
+            x = (x ^ x >> np.uint64(32)).view(np.int64)
+            x[x == 0] = 1
+            yield pd.DataFrame({"key": x, "n": pdf["n"]})
+
+    uni = words.where((F.col("a") != _key("")) & (F.col("word").isNotNull() | (F.col("n") > 1))).select(F.col("a").alias("key"), "n")
+    bi = pairs.select("a", "b", "n").mapInPandas(keyed, "key long, n double")
+    channel = Channel(stored(uni, most), stored(bi, most), total, longest, top)
     return estimated(channel, words.where("word IS NOT NULL").select("word", "n"))
 
 

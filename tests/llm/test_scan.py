@@ -1,3 +1,6 @@
+import pickle
+
+import pyarrow.fs
 import pytest
 
 from examloom.llm import scan
@@ -77,3 +80,23 @@ def test_causes_and_repairs(spark, sf_dir):
     causes = [next(trained.causes(r.t, r.source_table == "extract_toc"), None) for r in rows.collect()]
     assert causes.count("misread") > 0.25 * sum(x is not None for x in causes)
     assert all(0 < p <= 0.1 for p in trained.c.odds) and trained.c.odds != [p for _, _, p in scan.CONFUSIONS]
+
+
+def test_counts_stay_off_the_driver(spark, monkeypatch):
+    """What the driver holds and sends is the same for any corpus; the counts come from the shared folder, or a copy of it."""
+    def toArrow(self):  # noqa: N802
+        raise AssertionError("a table of counts on the driver")
+
+    monkeypatch.setattr(type(spark.range(1)), "toArrow", toArrow)
+    monkeypatch.setattr(scan, "PART", 20_000, raising=False)
+    words = [f"w{chr(97 + k % 26)}{k}x" for k in range(100_000)]
+    df = spark.createDataFrame([(" ".join(words[i * 1000 : i * 1000 + 1000]),) for i in range(100)] * 2 + [("the committee",)] * 12, "t string")
+    c = scan.train(df)
+    sent = pickle.dumps(c)
+    assert len(sent) < 10_000
+    pairs = [(u, v) for i in range(0, 100_000, 1000) for u, v in zip(words[i : i + 999 : 83], words[i + 1 : i + 1000 : 83])]
+    monkeypatch.setattr(scan, "_filesystem", lambda folder: (pyarrow.fs.SubTreeFileSystem("/", pyarrow.fs.LocalFileSystem()), folder.removeprefix("file:///")))
+    for x in (c, pickle.loads(sent)):
+        assert {x.count(w) for w in words[::7]} == {2} and x.count("committee") == 12 and x.count("nowhere") == 0
+        assert {x.beside(u, v, False) for u, v in pairs} == {2} and x.beside("the", "committee", False) == 12 and x.beside("committee", "the", False) == 0
+    assert x.total == 200_024
